@@ -144,10 +144,10 @@ ORACLE: dict[str, str] = {
                         ORDER BY o_totalprice DESC, o_orderkey) AS int) AS place
             FROM orders) WHERE place <= 3""",
     "sql_running_total": """
-        SELECT user_id, event_id, event_type,
-               cast(sum(cast(round(value * 100) AS bigint)) OVER (PARTITION BY user_id
-                    ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS bigint) AS cents_so_far
-        FROM events""",
+        SELECT event_type, cast(ts AS date) AS day, count(*) AS n_events,
+               cast(sum(sum(cast(round(value * 100) AS bigint))) OVER (PARTITION BY event_type
+                    ORDER BY cast(ts AS date)) AS bigint) AS cents_so_far
+        FROM events GROUP BY event_type, cast(ts AS date)""",
     "sql_text_functions": """
         SELECT doc_id, lang, upper(source) AS source,
                cast(length(text) AS integer) AS n_text,

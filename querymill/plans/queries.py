@@ -350,10 +350,10 @@ SQL_DATASETS: dict[str, Query] = {
     ),
     "sql_running_total": _sql(
         """
-        SELECT user_id, event_id, event_type,
-               sum(cast(round(value * 100) AS bigint)) OVER (PARTITION BY user_id
-                   ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS cents_so_far
-        FROM events""",
+        SELECT event_type, to_date(ts) AS day, count(*) AS n_events,
+               sum(sum(cast(round(value * 100) AS bigint))) OVER (PARTITION BY event_type
+                   ORDER BY to_date(ts)) AS cents_so_far
+        FROM events GROUP BY event_type, to_date(ts)""",
         "event_type",
         "events",
     ),

@@ -31,8 +31,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, prefix: str) -> str:
-    """A path under the shared folder that nothing has been written to yet."""
-    return f"{shared_folder(spark)}/{prefix}_{uuid.uuid4().hex}"
+    """A path under the shared folder that nothing has been written to yet.
+
+    All paths of one application lie in one folder named after it, which can be
+    removed as a whole once the application has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/{application}/{prefix}_{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, prefix: str = "step") -> DataFrame:

@@ -42,7 +42,8 @@ def approve(
 ) -> None:
     """Append approvals; an identifier that is not registered is an error."""
     packages = read_packages(spark, root)
-    unknown = arns.join(packages, "model_package_arn", "left_anti").limit(1).collect()
+    known = packages.select("model_package_arn").distinct()
+    unknown = arns.join(known, "model_package_arn", "left_anti").limit(1).collect()
     if unknown:
         raise ValueError(f"not registered: {unknown[0]['model_package_arn']}")
     append_packages(root, approvals(packages, arns, at))

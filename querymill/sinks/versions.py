@@ -11,6 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from querymill.sources.files import CSV_DIALECT
 from querymill.sources.versions import version_path
 
+# Full precision, where Spark's defaults keep milliseconds.
+TIME_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def new_version(at: datetime | None = None) -> str:
     """Name of a version made now: sorts by time, safe as a directory name."""
@@ -26,7 +32,11 @@ def _target(root: str, version: str | None) -> tuple[str, str]:
 
 
 def write_version(
-    df: DataFrame, root: str, fmt: str = "parquet", version: str | None = None
+    df: DataFrame,
+    root: str,
+    fmt: str = "parquet",
+    version: str | None = None,
+    max_records_per_file: int | None = None,
 ) -> str:
     """Write ``df`` as a new version in Parquet, CSV or JSON; returns its name.
 
@@ -34,10 +44,16 @@ def write_version(
     """
     version, path = _target(root, version)
     writer = df.write.mode("errorifexists").format(fmt)
+    if fmt in ("csv", "json"):
+        writer = writer.options(**TIME_FORMATS)
     if fmt == "csv":
+        if len(df.columns) == 1:
+            raise ValueError("a NULL in a one-column CSV is a blank line, which readers skip")
         writer = writer.options(**CSV_DIALECT)
     elif fmt == "json":
         writer = writer.option("ignoreNullFields", False)
+    if max_records_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(path)
     return version
 

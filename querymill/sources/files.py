@@ -22,14 +22,23 @@ CSV_DIALECT = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# Stands for an unquoted empty field while a file of our own is parsed. Spark
+# would otherwise take a quoted empty text for a NULL as well.
+UNQUOTED_EMPTY = "\0null\0"
+
 
 def reader_for(
     spark: SparkSession,
     fmt: str,
     schema: StructType | None = None,
     multiline: bool = True,
+    keep_empty: bool = False,
 ) -> DataFrameReader:
-    """Reader for one format; text that does not parse stops the query."""
+    """Reader for one format; text that does not parse stops the query.
+
+    ``keep_empty`` tells a quoted empty CSV field, an empty text, from an
+    unquoted one, a NULL. By default both are NULL.
+    """
     reader = spark.read.format(fmt)
     if fmt in ("csv", "json"):
         reader = reader.option("mode", "FAILFAST")
@@ -37,6 +46,8 @@ def reader_for(
         reader = reader.options(**CSV_DIALECT).options(
             multiLine=multiline, enforceSchema=False, inferSchema=schema is None
         )
+        if keep_empty:
+            reader = reader.option("nullValue", UNQUOTED_EMPTY)
     return reader if schema is None else reader.schema(schema)
 
 

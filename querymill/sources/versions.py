@@ -59,7 +59,8 @@ def load_versions(
     if schema is None:
         schema = reader_for(spark, fmt).load(paths[-1]).schema
     with_version = StructType(list(schema.fields)).add("version", StringType())
-    return reader_for(spark, fmt, with_version).option("basePath", root).load(paths)
+    reader = reader_for(spark, fmt, with_version, keep_empty=True)
+    return reader.option("basePath", root).load(paths)
 
 
 def load_latest(
