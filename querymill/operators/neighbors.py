@@ -1,16 +1,18 @@
 """Exact nearest-neighbour prediction without comparing every pair.
 
-Training points are cut into leaves by a small tree of axis splits. Each test
-row is first compared with the points of its own leaf; the distance found rules
-out every leaf whose bounding box lies farther away, and only the remaining
-leaves are looked at. The tree comes from a sample, but a poor sample can only
+Training points are cut into leaves by a small tree of axis splits, and each leaf
+keeps the bounding box of its points. A test row is compared with the points of
+the leaf whose box is nearest; the distance found rules out every leaf whose box
+lies farther away. What is left is visited in rounds, nearest boxes first, until
+no box is near enough. The tree comes from a sample, but a poor sample can only
 cost time: the result is that of comparing all pairs.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -59,7 +61,6 @@ def nearest_neighbor(
     depth = min(math.ceil(math.log2(max(size / leaf_rows, 1))), int(math.log2(MAX_LEAVES)))
     leaf_of = _leaf_function(_sampled_tree(points.select(*dims), size, depth), depth)
     points = points.withColumn("_leaf", leaf_of(*dims))
-    label_type = train.schema[label].dataType.simpleString()
     boxes = (
         points.groupBy("_leaf")
         .agg(
@@ -70,24 +71,15 @@ def nearest_neighbor(
         .toPandas()
         .sort_values("_leaf", ignore_index=True)
     )
-    rows = test.select(F.col(key).alias("_key"), *point).withColumn("_leaf", leaf_of(*dims))
     search = _LeafSearch(points, boxes, dims, chunk_rows)
-    best = search.run(rows, label_type)
-    if depth > 0:
-        home = materialize(best, "home")
-        others = _reachable_leaves(boxes, dims)
-        farther = (
-            home.withColumn("_leaf", F.explode(others("_leaf", "_square", *dims)))
-            .select("_key", *dims, "_leaf")
-        )
-        beyond = search.run(farther, label_type)
-        best = home.select("_key", "_square", "_near", "_label").unionByName(
-            beyond.select("_key", "_square", "_near", "_label")
-        )
-    answer = best.groupBy("_key").agg(
-        F.min(F.struct("_square", "_near", "_label")).alias("_best")
+    best = _visit_leaves(
+        test.select(F.col(key).alias("_key"), *point),
+        search,
+        boxes,
+        dims,
+        train.schema[label].dataType.simpleString(),
     )
-    return answer.select(
+    return best.select(
         F.col("_key").alias(key),
         F.col("_best._near").alias("nearest_key"),
         F.col("_best._label").alias("predicted"),
@@ -95,6 +87,41 @@ def nearest_neighbor(
     )
 
 
+def _visit_leaves(
+    rows: DataFrame, search: _LeafSearch, boxes: pd.DataFrame, dims: list[str], label_type: str
+) -> DataFrame:
+    """Best point of each row, over rounds of 1, 8, 64, ... leaves per row.
+
+    A row leaves the rounds once its best distance is below the gap to the next
+    box. Most do so after one or two, so later rounds see few rows.
+    """
+    best_type = F.struct("_square", "_near", "_label")
+    waiting = rows.withColumn("_square", F.lit(float("inf")))
+    done: list[DataFrame] = []
+    start, width = 0, 1
+    while True:
+        asked = waiting.withColumn(
+            "_leaf", F.explode(_nearest_leaves(boxes, dims, start, width)("_square", *dims))
+        )
+        found = search.run(asked.drop("_square"), label_type).select(
+            "_key", *dims, best_type.alias("_best")
+        )
+        if start:
+            found = found.unionByName(waiting.select("_key", *dims, "_best"))
+        best = found.groupBy("_key", *dims).agg(F.min("_best").alias("_best"))
+        start, width = start + width, width * 8
+        if start >= len(boxes):
+            done.append(best.select("_key", "_best"))
+            break
+        ahead = _nearest_leaves(boxes, dims, start, 1)("_best._square", *dims)
+        best = materialize(best.withColumn("_open", F.size(ahead) > 0), "best")
+        done.append(best.where("NOT _open").select("_key", "_best"))
+        waiting = best.where("_open").withColumn("_square", F.col("_best._square"))
+        if waiting.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, done)
+
+
 def _present(name: str) -> Column:
     value = F.col(name).cast("double")
     missing = F.raise_error(F.lit(f"{name} has a missing value")).cast("double")
@@ -142,34 +169,45 @@ def _leaf_function(tree: tuple[np.ndarray, np.ndarray], depth: int):
     return leaf_of
 
 
-def _reachable_leaves(boxes: pd.DataFrame, dims: list[str]):
-    """Leaves other than a row's own that may hold a point at most as far away.
+def _nearest_leaves(boxes: pd.DataFrame, dims: list[str], start: int, width: int):
+    """Leaves number ``start`` to ``start + width`` by the gap to their boxes, as a
+    function of the best squared distance so far and the features.
 
-    The gap to a box is summed as distances are, so rounding cannot make it
-    exceed the distance to a point inside.
+    Boxes farther away than that distance are left out. The gap to a box is
+    summed as distances are, so rounding cannot make it exceed the distance to a
+    point inside.
     """
+    if len(boxes) == 1:
+        only = int(boxes["_leaf"][0])
+        return lambda square, *features: F.array(F.lit(only))
     leaves = boxes["_leaf"].to_numpy(dtype=np.int32)
     low = boxes[[f"lo{d}" for d in dims]].to_numpy(dtype=np.float64)
     high = boxes[[f"hi{d}" for d in dims]].to_numpy(dtype=np.float64)
 
+    def chosen(gaps: np.ndarray, bound: float) -> np.ndarray:
+        if start + width == 1:
+            return leaves[gaps.argmin() :][:1]
+        near = np.flatnonzero(gaps <= bound)
+        near = near[np.argsort(gaps[near], kind="stable")]
+        return leaves[near[start : start + width]]
+
     @F.pandas_udf("array<int>")
-    def others(leaf: pd.Series, square: pd.Series, *features: pd.Series) -> pd.Series:
+    def nearest(square: pd.Series, *features: pd.Series) -> pd.Series:
         points = np.column_stack([f.to_numpy(dtype=np.float64) for f in features])
-        own, bound = leaf.to_numpy(), square.to_numpy(dtype=np.float64)
+        bounds = square.to_numpy(dtype=np.float64)
         found = []
         step = max(1, BLOCK_CELLS // len(leaves))
-        for start in range(0, len(points), step):
-            block = slice(start, start + step)
-            gaps = np.zeros((len(points[block]), len(leaves)))
+        for first in range(0, len(points), step):
+            block = points[first : first + step]
+            gaps = np.zeros((len(block), len(leaves)))
             for d in range(points.shape[1]):
-                x = points[block, d, None]
+                x = block[:, d, None]
                 gap = np.maximum(np.maximum(low[:, d] - x, x - high[:, d]), 0.0)
                 gaps += gap * gap
-            near = (gaps <= bound[block, None]) & (leaves != own[block, None])
-            found.extend(leaves[row] for row in near)
-        return pd.Series(found)
+            found.extend(map(chosen, gaps, bounds[first : first + step]))
+        return pd.Series(found, dtype=object)
 
-    return others
+    return nearest
 
 
 class _LeafSearch:
@@ -187,17 +225,17 @@ class _LeafSearch:
         self.point_rows = boxes.set_index("_leaf")["rows"]
 
     def run(self, rows: DataFrame, label_type: str) -> DataFrame:
-        """Nearest point per row and chunk, with its squared distance."""
-        chunks = F.broadcast(self._chunks(rows))
+        """Nearest point per row, leaf and chunk, with its squared distance."""
+        with_chunks = self._chunks(rows)
         group = ["_leaf", "_row_chunk", "_point_chunk"]
         left = (
-            self.points.join(chunks, "_leaf")
+            with_chunks(self.points)
             .withColumn("_row_chunk", F.explode(F.sequence(F.lit(0), F.col("_row_chunks") - 1)))
             .withColumn("_point_chunk", F.pmod(F.xxhash64("_near"), "_point_chunks").cast("int"))
             .select(*group, *self.dims, "_near", "_label")
         )
         right = (
-            rows.join(chunks, "_leaf")
+            with_chunks(rows)
             .withColumn("_row_chunk", F.pmod(F.xxhash64("_key"), "_row_chunks").cast("int"))
             .withColumn(
                 "_point_chunk", F.explode(F.sequence(F.lit(0), F.col("_point_chunks") - 1))
@@ -207,7 +245,7 @@ class _LeafSearch:
         types = {f.name: f.dataType.simpleString() for f in self.points.schema}
         key_type = rows.schema["_key"].dataType.simpleString()
         schema = ", ".join(
-            [f"_key {key_type}", *[f"{d} double" for d in self.dims], "_leaf int"]
+            [f"_key {key_type}", *[f"{d} double" for d in self.dims]]
             + ["_square double", f"_near {types['_near']}", f"_label {label_type}"]
         )
         return (
@@ -216,24 +254,30 @@ class _LeafSearch:
             .applyInPandas(_nearest_in_group(self.dims), schema)
         )
 
-    def _chunks(self, rows: DataFrame) -> DataFrame:
-        """Leaves that are asked for, with chunk numbers: at most one row per leaf."""
+    def _chunks(self, rows: DataFrame) -> Callable[[DataFrame], DataFrame]:
+        """Function that adds the leaf's chunk numbers and drops leaves not asked for.
+
+        The numbers come from exact counts, at most one row per leaf, so they are
+        safe to broadcast.
+        """
         asked = rows.groupBy("_leaf").count().toPandas().set_index("_leaf")["count"]
-        table = pd.DataFrame({"rows": asked, "points": self.point_rows}).dropna()
-        per_chunk = np.ceil(table / self.chunk_rows).astype("int32")
-        spark = rows.sparkSession
-        return spark.createDataFrame(
-            [
-                (int(leaf), int(row), int(point))
-                for leaf, row, point in per_chunk.itertuples(name=None)
-            ],
+        counts = pd.DataFrame({"rows": asked, "points": self.point_rows}).dropna()
+        table = np.ceil(counts / self.chunk_rows).astype("int32").reset_index()
+        if len(self.point_rows) == 1:
+            of_rows, of_points = table.iloc[0, 1:] if len(table) else (1, 1)
+            return lambda df: df.withColumns(
+                {"_row_chunks": F.lit(int(of_rows)), "_point_chunks": F.lit(int(of_points))}
+            )
+        chunks = rows.sparkSession.createDataFrame(
+            [tuple(map(int, row)) for row in table.itertuples(index=False, name=None)],
             "_leaf int, _row_chunks int, _point_chunks int",
         )
+        return lambda df: df.join(F.broadcast(chunks), "_leaf")
 
 
 def _nearest_in_group(dims: list[str]):
     def nearest(points: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = rows[["_key", *dims, "_leaf"]].copy()
+        out = rows[["_key", *dims]]
         if points.empty or rows.empty:
             return out.iloc[:0].assign(_square=0.0, _near=None, _label=None)
         # With points in key order the first minimum is the smallest key.
