@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from querymill.plans.sql_datasets import SQL_DATASETS
+
 _DATE_PARTS = """
     SELECT *, cast(year(o_orderdate) AS integer) AS year,
            cast(month(o_orderdate) AS integer) AS month
@@ -99,60 +101,6 @@ ORACLE: dict[str, str] = {
     "bounded_files": "SELECT count(*) AS n_rows, true AS within_bound FROM lineitem",
     "query_roundtrip": _DATE_PARTS,
     "ctas_roundtrip": _DATE_PARTS,
-    "sql_pricing_summary": """
-        SELECT l_returnflag, l_linestatus,
-               cast(sum(cast(l_quantity AS decimal(12, 2))) AS double) AS sum_qty,
-               cast(sum(cast(l_extendedprice AS decimal(12, 2))
-                        * (1 - cast(l_discount AS decimal(4, 2)))) AS double) AS revenue,
-               max(l_tax) AS max_tax, count(*) AS n_lines
-        FROM lineitem WHERE l_shipdate <= timestamp '1998-09-02 00:00:00'
-        GROUP BY l_returnflag, l_linestatus""",
-    "sql_join_agg_window": """
-        SELECT n_name, n_orders, cast(rank() OVER (ORDER BY n_orders DESC) AS int) AS place
-        FROM (SELECT n_name, count(*) AS n_orders
-              FROM orders JOIN customer ON o_custkey = c_custkey
-                          JOIN nation ON c_nationkey = n_nationkey
-              GROUP BY n_name)""",
-    "sql_region_volume": """
-        SELECT r_name, n_name, cast(year(o_orderdate) AS integer) AS year,
-               cast(sum(cast(l_extendedprice AS decimal(12, 2))) AS double) AS volume
-        FROM region JOIN nation ON n_regionkey = r_regionkey
-             JOIN supplier ON s_nationkey = n_nationkey
-             JOIN lineitem ON l_suppkey = s_suppkey
-             JOIN orders ON l_orderkey = o_orderkey
-        GROUP BY r_name, n_name, year(o_orderdate)""",
-    "sql_rollup": """
-        SELECT o_orderstatus, o_orderpriority,
-               cast(grouping(o_orderstatus, o_orderpriority) AS integer) AS level,
-               count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers
-        FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)""",
-    "sql_set_operations": """
-        (SELECT o_custkey AS custkey, 'both' AS part FROM orders WHERE o_orderstatus = 'F'
-         INTERSECT SELECT o_custkey, 'both' FROM orders WHERE o_orderstatus = 'O')
-        UNION ALL
-        (SELECT c_custkey, 'none' FROM customer
-         EXCEPT SELECT o_custkey, 'none' FROM orders)""",
-    "sql_exists": """
-        SELECT c_custkey, c_name, c_nationkey FROM customer c
-        WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey
-                      AND o.o_orderstatus = 'F')
-          AND c_acctbal > (SELECT avg(c_acctbal) FROM customer)""",
-    "sql_top_per_group": """
-        SELECT * FROM (
-            SELECT o_custkey, o_orderkey, o_orderpriority,
-                   cast(row_number() OVER (PARTITION BY o_custkey
-                        ORDER BY o_totalprice DESC, o_orderkey) AS int) AS place
-            FROM orders) WHERE place <= 3""",
-    "sql_running_total": """
-        SELECT event_type, cast(ts AS date) AS day, count(*) AS n_events,
-               cast(sum(sum(cast(round(value * 100) AS bigint))) OVER (PARTITION BY event_type
-                    ORDER BY cast(ts AS date)) AS bigint) AS cents_so_far
-        FROM events GROUP BY event_type, cast(ts AS date)""",
-    "sql_text_functions": """
-        SELECT doc_id, lang, upper(source) AS source,
-               cast(length(text) AS integer) AS n_text,
-               cast(len(string_split(text, ' ')) AS integer) AS n_parts, md5(text) AS digest
-        FROM documents""",
     "csv_roundtrip": "SELECT * FROM customer",
     "csv_text_roundtrip": "SELECT * FROM documents",
     "json_roundtrip": "SELECT * FROM customer",
@@ -224,4 +172,4 @@ ORACLE: dict[str, str] = {
                'model-package/test/2026-01-01' AS model_package_arn
         FROM embeddings""",
     "stamp_and_preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 5",
-}
+} | {name: dataset.check_sql for name, dataset in SQL_DATASETS.items()}

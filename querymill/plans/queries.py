@@ -21,6 +21,7 @@ from querymill.operators import (
     registry,
 )
 from querymill.plans import jobs
+from querymill.plans.sql_datasets import SQL_DATASETS, SqlDataset
 from querymill.session import fresh_path
 from querymill.sinks import files as file_sinks
 from querymill.sinks import registry as registry_sinks
@@ -260,114 +261,14 @@ def ctas_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return query_dataset(spark, ORDERS_BY_MONTH, ["year", "month"], as_table=name)
 
 
-def _sql(query: str, partition_col: str, *names: str) -> Query:
+def _sql(dataset: SqlDataset) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _views(spark, sf_dir, *names)
-        return query_dataset(spark, query, [partition_col])
+        _views(spark, sf_dir, *dataset.tables)
+        return query_dataset(spark, dataset.query, [dataset.partition_col])
 
     return run
 
 
-SQL_DATASETS: dict[str, Query] = {
-    "sql_pricing_summary": _sql(
-        """
-        SELECT l_returnflag, l_linestatus,
-               cast(sum(cast(l_quantity AS decimal(12, 2))) AS double) AS sum_qty,
-               cast(sum(cast(l_extendedprice AS decimal(12, 2))
-                        * (1 - cast(l_discount AS decimal(4, 2)))) AS double) AS revenue,
-               max(l_tax) AS max_tax, count(*) AS n_lines
-        FROM lineitem WHERE l_shipdate <= timestamp_ntz'1998-09-02 00:00:00'
-        GROUP BY l_returnflag, l_linestatus""",
-        "l_returnflag",
-        "lineitem",
-    ),
-    "sql_join_agg_window": _sql(
-        """
-        SELECT n_name, n_orders, cast(rank() OVER (ORDER BY n_orders DESC) AS int) AS place
-        FROM (SELECT n_name, count(*) AS n_orders
-              FROM orders JOIN customer ON o_custkey = c_custkey
-                          JOIN nation ON c_nationkey = n_nationkey
-              GROUP BY n_name)""",
-        "place",
-        "orders",
-        "customer",
-        "nation",
-    ),
-    "sql_region_volume": _sql(
-        """
-        SELECT r_name, n_name, year(o_orderdate) AS year,
-               cast(sum(cast(l_extendedprice AS decimal(12, 2))) AS double) AS volume
-        FROM region JOIN nation ON n_regionkey = r_regionkey
-             JOIN supplier ON s_nationkey = n_nationkey
-             JOIN lineitem ON l_suppkey = s_suppkey
-             JOIN orders ON l_orderkey = o_orderkey
-        GROUP BY r_name, n_name, year(o_orderdate)""",
-        "year",
-        "region",
-        "nation",
-        "supplier",
-        "lineitem",
-        "orders",
-    ),
-    "sql_rollup": _sql(
-        """
-        SELECT o_orderstatus, o_orderpriority, cast(grouping_id() AS int) AS level,
-               count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers
-        FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)""",
-        "level",
-        "orders",
-    ),
-    "sql_set_operations": _sql(
-        """
-        (SELECT o_custkey AS custkey, 'both' AS part FROM orders WHERE o_orderstatus = 'F'
-         INTERSECT SELECT o_custkey, 'both' FROM orders WHERE o_orderstatus = 'O')
-        UNION ALL
-        (SELECT c_custkey, 'none' FROM customer
-         EXCEPT SELECT o_custkey, 'none' FROM orders)""",
-        "part",
-        "orders",
-        "customer",
-    ),
-    "sql_exists": _sql(
-        """
-        SELECT c_custkey, c_name, c_nationkey FROM customer c
-        WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey
-                      AND o.o_orderstatus = 'F')
-          AND c_acctbal > (SELECT avg(c_acctbal) FROM customer)""",
-        "c_nationkey",
-        "customer",
-        "orders",
-    ),
-    "sql_top_per_group": _sql(
-        """
-        SELECT * FROM (
-            SELECT o_custkey, o_orderkey, o_orderpriority,
-                   cast(row_number() OVER (PARTITION BY o_custkey
-                        ORDER BY o_totalprice DESC, o_orderkey) AS int) AS place
-            FROM orders) WHERE place <= 3""",
-        "place",
-        "orders",
-    ),
-    "sql_running_total": _sql(
-        """
-        SELECT event_type, to_date(ts) AS day, count(*) AS n_events,
-               sum(sum(cast(round(value * 100) AS bigint))) OVER (PARTITION BY event_type
-                   ORDER BY to_date(ts)) AS cents_so_far
-        FROM events GROUP BY event_type, to_date(ts)""",
-        "event_type",
-        "events",
-    ),
-    "sql_text_functions": _sql(
-        """
-        SELECT doc_id, lang, upper(source) AS source, length(text) AS n_text,
-               size(split(text, ' ')) AS n_parts, md5(text) AS digest
-        FROM documents""",
-        "lang",
-        "documents",
-    ),
-}
-
-
 # ---------------------------------------------------------------- files and tables
 
 
@@ -715,4 +616,4 @@ QUERIES: dict[str, Query] = {
         train_and_deploy,
         stamp_and_preview,
     )
-} | SQL_DATASETS
+} | {name: _sql(dataset) for name, dataset in SQL_DATASETS.items()}

@@ -56,17 +56,19 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
 
     Scan splits grow from 128 MiB to 1 GiB so that very large inputs do not turn
     into millions of tasks. Shuffles start with many partitions (about 256 MiB
-    of input each, at most 40,000) and adaptive execution merges the small ones
+    of input each, at most 20,000) and adaptive execution merges the small ones
     and splits the hot ones.
     """
     split = min(max(input_bytes // max(cores * 16, 1), 128 * MIB), 1024 * MIB)
-    shuffle = min(max(cores, input_bytes // (256 * MIB)), 40_000)
+    shuffle = min(max(cores, input_bytes // (256 * MIB)), 20_000)
+    smallest = min(max(input_bytes // (cores * 64), MIB // 16), 16 * MIB)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(smallest),
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -143,5 +143,5 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_settings_grow_with_the_input():
     small, large = settings_for(10**9, 8), settings_for(10**14, 8000)
     assert small["spark.sql.shuffle.partitions"] == "8"
-    assert large["spark.sql.shuffle.partitions"] == "40000"
+    assert large["spark.sql.shuffle.partitions"] == "20000"
     assert int(large["spark.sql.files.maxPartitionBytes"]) > int(small["spark.sql.files.maxPartitionBytes"])
