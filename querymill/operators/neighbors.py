@@ -95,30 +95,29 @@ def _visit_leaves(
     A row leaves the rounds once its best distance is below the gap to the next
     box. Most do so after one or two, so later rounds see few rows.
     """
-    best_type = F.struct("_square", "_near", "_label")
-    waiting = rows.withColumn("_square", F.lit(float("inf")))
-    done: list[DataFrame] = []
     start, width = 0, 1
+    first = _nearest_leaves(boxes, dims, start, width)
+    asked = rows.withColumn("_leaf", F.explode(first(F.lit(float("inf")), *dims)))
+    waiting: DataFrame | None = None
+    done: list[DataFrame] = []
     while True:
-        asked = waiting.withColumn(
-            "_leaf", F.explode(_nearest_leaves(boxes, dims, start, width)("_square", *dims))
-        )
-        found = search.run(asked.drop("_square"), label_type).select(
-            "_key", *dims, best_type.alias("_best")
+        found = search.run(asked, label_type).select(
+            "_key", *dims, F.struct("_square", "_near", "_label").alias("_best")
         )
-        if start:
+        if waiting is not None:
             found = found.unionByName(waiting.select("_key", *dims, "_best"))
         best = found.groupBy("_key", *dims).agg(F.min("_best").alias("_best"))
         start, width = start + width, width * 8
         if start >= len(boxes):
             done.append(best.select("_key", "_best"))
             break
-        ahead = _nearest_leaves(boxes, dims, start, 1)("_best._square", *dims)
-        best = materialize(best.withColumn("_open", F.size(ahead) > 0), "best")
-        done.append(best.where("NOT _open").select("_key", "_best"))
-        waiting = best.where("_open").withColumn("_square", F.col("_best._square"))
+        following = _nearest_leaves(boxes, dims, start, width)("_best._square", *dims)
+        best = materialize(best.withColumn("_next", following), "best")
+        done.append(best.where(F.size("_next") == 0).select("_key", "_best"))
+        waiting = best.where(F.size("_next") > 0)
         if waiting.isEmpty():
             break
+        asked = waiting.select("_key", *dims, F.explode("_next").alias("_leaf"))
     return reduce(DataFrame.unionByName, done)
 
 
@@ -134,9 +133,10 @@ def _sampled_tree(points: DataFrame, size: int, depth: int) -> tuple[np.ndarray,
     dims, cuts = np.zeros(inner, dtype=np.int64), np.full(inner, np.inf)
     if inner == 0:
         return dims, cuts
-    fraction = min(1.0, 1.1 * SAMPLE_ROWS / size)
+    wanted = min(SAMPLE_ROWS, 64 * 2**depth)
+    fraction = min(1.0, 1.1 * wanted / size)
     sample = points.sample(fraction=fraction, seed=1) if fraction < 1.0 else points
-    members = {0: sample.limit(SAMPLE_ROWS).toPandas().to_numpy(dtype=np.float64)}
+    members = {0: sample.limit(wanted).toPandas().to_numpy(dtype=np.float64)}
     for node in range(inner):
         here = members.pop(node)
         if len(here) > 1:
