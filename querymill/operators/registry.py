@@ -92,10 +92,14 @@ def current_packages(packages: DataFrame) -> DataFrame:
 
 
 def approvals(packages: DataFrame, arns: DataFrame, at: Column | None = None) -> DataFrame:
-    """Rows to append so that the packages in ``arns`` become approved."""
+    """Rows to append so that the packages in ``arns`` become approved.
+
+    Histories shrink to one row each before the join, however long they are.
+    """
     chosen = arns.select("model_package_arn").distinct()
     return (
-        current_packages(packages.join(chosen, "model_package_arn", "left_semi"))
+        current_packages(packages)
+        .join(chosen, "model_package_arn", "left_semi")
         .withColumns(
             {
                 "approval_status": F.lit(APPROVED),
@@ -136,10 +140,11 @@ def artifact_version(model_url: Column) -> Column:
 def link_versions(versions: DataFrame, packages: DataFrame) -> DataFrame:
     """Dataset versions with the packages made from them.
 
-    No join hint: adaptive execution broadcasts the listing if its measured size
-    allows, and splits a version with very many packages otherwise.
+    A semi join with both inputs shuffled as they are: adaptive execution may then
+    split a version with very many packages (which it could not next to an
+    aggregate), and broadcasts the listing where its measured size allows.
     """
     linked = packages.withColumn("version", artifact_version(F.col("model_url")))
-    return versions.select("version").distinct().join(
-        linked.select("version", "model_group", "model_package_arn"), "version"
+    return linked.select("version", "model_group", "model_package_arn").join(
+        versions.select("version"), "version", "left_semi"
     )

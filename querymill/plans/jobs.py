@@ -87,7 +87,8 @@ def train_and_register(
 def deployments(records: DataFrame, packages: DataFrame, name_base: str) -> DataFrame:
     """Names for the recorded packages that are approved."""
     ready = approved(packages).select("model_package_arn")
-    return records.join(ready, "model_package_arn", "left_semi").select(
+    asked = records.select("model_package_arn").distinct()
+    return asked.join(ready, "model_package_arn", "left_semi").select(
         F.concat_ws("-", F.lit(name_base), tail_name(F.col("model_package_arn"))).alias(
             "model_name"
         ),

@@ -175,17 +175,20 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distributed_together(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number of tasks that hold each month's rows when keys stay together."""
+    """Number of tasks that hold a month when keys stay together.
+
+    The rows are counts per month and status: a busy month is no larger a key.
+    """
 
     @layout.repartition_by(["year", "month"], hot_keys="together")
     def months() -> DataFrame:
-        return date_parts(spark, sf_dir).select("year", "month")
+        return date_parts(spark, sf_dir).groupBy("year", "month", "o_orderstatus").count()
 
     return (
         months()
         .withColumn("task", F.spark_partition_id())
         .groupBy("year", "month")
-        .agg(F.count("*").alias("n_rows"), F.countDistinct("task").alias("n_tasks"))
+        .agg(F.sum("count").alias("n_rows"), F.countDistinct("task").alias("n_tasks"))
     )
 
 
@@ -539,8 +542,7 @@ def version_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deployment_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names for all packages recorded, as far as they are approved."""
     packages = _packages(spark, sf_dir)
-    records = packages.select("model_package_arn").distinct()
-    return jobs.deployments(records, packages, "iris-model")
+    return jobs.deployments(packages, packages, "iris-model")
 
 
 def train_and_deploy(spark: SparkSession, sf_dir: str) -> DataFrame:

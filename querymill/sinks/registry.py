@@ -43,7 +43,8 @@ def approve(
     """Append approvals; an identifier that is not registered is an error."""
     packages = read_packages(spark, root)
     known = packages.select("model_package_arn").distinct()
-    unknown = arns.join(known, "model_package_arn", "left_anti").limit(1).collect()
+    asked = arns.select("model_package_arn").distinct()
+    unknown = asked.join(known, "model_package_arn", "left_anti").limit(1).collect()
     if unknown:
         raise ValueError(f"not registered: {unknown[0]['model_package_arn']}")
     append_packages(root, approvals(packages, arns, at))

@@ -45,3 +45,35 @@ def test_only_needed_columns_are_read(spark):
 
 def test_top_rows_need_no_full_sort(spark):
     assert "TakeOrderedAndProject" in executed(spark, "date_parts_limit")
+
+
+def test_a_hot_version_is_split_in_the_link(spark):
+    """A third of all packages were made from one version: several tasks join them."""
+    from pyspark.sql import functions as F
+
+    from querymill.operators.registry import link_versions
+
+    hot = F.when(F.col("id") % 3 == 0, F.lit("v0")).otherwise(F.concat(F.lit("v"), F.col("id") % 500))
+    packages = spark.range(0, 300_000, 1, 8).select(
+        F.concat(F.lit("s3://m/"), hot, F.lit("-model.tar.gz")).alias("model_url"),
+        F.lit("g").alias("model_group"),
+        F.sha2(F.col("id").cast("string"), 256).alias("model_package_arn"),
+    )
+    versions = spark.range(500).select(F.concat(F.lit("v"), "id").alias("version"))
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000000",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        linked = link_versions(versions, packages)
+        assert len(linked.collect()) == 300_000
+        assert "skew=true" in linked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
