@@ -32,7 +32,7 @@ HEADLINE = [
     "latest_version",
     "hash_split",
     "nearest_neighbor",
-    "nearest_neighbor_leaves",
+    "accuracy",
     "train_and_score",
     "batch_score",
     "insert_if_absent",

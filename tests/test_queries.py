@@ -9,6 +9,15 @@ import __spark_entry__ as contract
 
 SF_DIR = "/root/testdata/sf0.01"
 WITHOUT_SQL = {"train_and_score"}
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +31,10 @@ def test_matches_sql(spark, con, name):
     if name in WITHOUT_SQL:
         assert found.count() > 0
         return
-    wanted = con.execute(contract.oracle_sql()[name]).df()
+    relation = con.sql(contract.oracle_sql()[name])
+    wanted_types = dict(zip(relation.columns, map(str, relation.types), strict=True))
+    assert {f.name: TYPES[f.dataType.simpleString()] for f in found.schema} == wanted_types
+    wanted = relation.df()
     assert len(wanted) > 0
     assert_same(found.toPandas(), wanted)
 
