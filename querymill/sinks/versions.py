@@ -55,6 +55,7 @@ def write_version(
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(path)
+    _mark_finished(df.sparkSession, path)
     return version
 
 
@@ -72,6 +73,8 @@ def save_model_version(
 
 
 def _mark_finished(spark: SparkSession, path: str) -> None:
+    """Set the marker, unless the committer has."""
     marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     files = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.create(marker, False).close()
+    if not files.exists(marker):
+        files.create(marker, False).close()

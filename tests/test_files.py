@@ -4,6 +4,8 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from querymill.operators.columns import with_date_parts
@@ -41,6 +43,24 @@ def test_versions_keep_every_value(spark, awkward, root, fmt):
     assert repr(rows) == repr(awkward.orderBy("i").collect())
 
 
+ANY_TEXT = st.none() | st.text(
+    st.characters(exclude_categories=["Cs"]) | st.sampled_from('",\n\r\t \\#\x00'), max_size=12
+)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(ANY_TEXT, min_size=1, max_size=200))
+def test_any_text_comes_back(spark, fmt, texts):
+    from querymill.session import fresh_path
+
+    root = fresh_path(spark, "any")
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    write_version(df, root, fmt)
+    got = load_latest(spark, root, fmt, df.schema).orderBy("i").collect()
+    assert [r.s for r in got] == texts
+
+
 def test_one_column_csv_is_refused(spark, root):
     with pytest.raises(ValueError):
         write_version(spark.range(3), root, "csv")
