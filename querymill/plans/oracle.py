@@ -165,10 +165,10 @@ ORACLE: dict[str, str] = {
         SELECT version, model_group, model_package_arn FROM models WHERE version < '1996'""",
     "deployment_names": f"""
         WITH {_MODELS}
-        SELECT 'iris-model-' || model_group || '-' || version AS model_name, model_package_arn
+        SELECT 'flower-model-' || model_group || '-' || version AS model_name, model_package_arn
         FROM models WHERE approval_status = 'Approved'""",
     "train_and_deploy": """
-        SELECT DISTINCT 'iris-model-test-2026-01-01' AS model_name,
+        SELECT DISTINCT 'flower-model-test-2026-01-01' AS model_name,
                'model-package/test/2026-01-01' AS model_package_arn
         FROM embeddings""",
     "stamp_and_preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 5",

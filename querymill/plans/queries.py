@@ -542,7 +542,7 @@ def version_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deployment_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names for all packages recorded, as far as they are approved."""
     packages = _packages(spark, sf_dir)
-    return jobs.deployments(packages, packages, "iris-model")
+    return jobs.deployments(packages, packages, "flower-model")
 
 
 def train_and_deploy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -554,7 +554,7 @@ def train_and_deploy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     chosen = spark.range(1).select(F.lit(arn).alias("model_package_arn"))
     registry_sinks.approve(spark, f"{root}/registry", chosen)
-    return jobs.deploy_model(spark, root, "iris-model").drop("version")
+    return jobs.deploy_model(spark, root, "flower-model").drop("version")
 
 
 def stamp_and_preview(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,13 +18,15 @@ CSV_DIALECT = {
     "header": "true",
     "quote": '"',
     "escape": '"',
+    "charToEscapeQuoteEscaping": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
 
-# Stands for an unquoted empty field while a file of our own is parsed. Spark
-# would otherwise take a quoted empty text for a NULL as well.
-UNQUOTED_EMPTY = "\0null\0"
+# For files of our own. The text stands for an unquoted empty field while a file is
+# parsed, as Spark would otherwise take a quoted empty text for a NULL as well. The
+# line end is stated, as a guessed one swallows NUL characters after line breaks.
+OWN_CSV = {"nullValue": "\0querymill null\0", "lineSep": "\n"}
 
 
 def reader_for(
@@ -32,12 +34,12 @@ def reader_for(
     fmt: str,
     schema: StructType | None = None,
     multiline: bool = True,
-    keep_empty: bool = False,
+    own_csv: bool = False,
 ) -> DataFrameReader:
     """Reader for one format; text that does not parse stops the query.
 
-    ``keep_empty`` tells a quoted empty CSV field, an empty text, from an
-    unquoted one, a NULL. By default both are NULL.
+    ``own_csv`` is for CSV files the version sink wrote: a quoted empty field is an
+    empty text there and an unquoted one a NULL. Otherwise both are NULL.
     """
     reader = spark.read.format(fmt)
     if fmt in ("csv", "json"):
@@ -46,8 +48,8 @@ def reader_for(
         reader = reader.options(**CSV_DIALECT).options(
             multiLine=multiline, enforceSchema=False, inferSchema=schema is None
         )
-        if keep_empty:
-            reader = reader.option("nullValue", UNQUOTED_EMPTY)
+        if own_csv:
+            reader = reader.options(**OWN_CSV)
     return reader if schema is None else reader.schema(schema)
 
 

@@ -57,9 +57,9 @@ def load_versions(
         raise ValueError(f"no finished version under {root}")
     paths = [version_path(root, v) for v in versions]
     if schema is None:
-        schema = reader_for(spark, fmt).load(paths[-1]).schema
+        schema = reader_for(spark, fmt, own_csv=True).load(paths[-1]).schema
     with_version = StructType(list(schema.fields)).add("version", StringType())
-    reader = reader_for(spark, fmt, with_version, keep_empty=True)
+    reader = reader_for(spark, fmt, with_version, own_csv=True)
     return reader.option("basePath", root).load(paths)
 
 

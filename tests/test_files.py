@@ -23,13 +23,13 @@ from querymill.sources.versions import (
     version_path,
 )
 
-TEXTS = ["", None, " a ", 'q"u', "a\nb", "a\r\nb", "a\rb", "\\", ",", "#x", "null", '""', "\t", "\\N", "é😀\u2028x", '\\"']
+TEXTS = ["", None, " a ", 'q"u', "a\nb", "a\r\nb", "a\rb", "\\", ",", "#x", "null", '""', "\t", "\\N", "é😀\u2028x", '\\"', "\n\0a", '"\0', "\r\n\0", "\0"]
 
 
 @pytest.fixture(scope="module")
 def awkward(spark):
     at = datetime(2024, 1, 1, 1, 2, 3, 123456)
-    rows = [(i, t, at, x) for i, (t, x) in enumerate(zip(TEXTS, [0.1, 1e300, float("nan"), float("inf")] * 4, strict=True))]
+    rows = [(i, t, at, x) for i, (t, x) in enumerate(zip(TEXTS, [0.1, 1e300, float("nan"), float("inf")] * 5, strict=True))]
     df = spark.createDataFrame(rows, "i int, s string, t timestamp, x double")
     return df.withColumn("n", F.col("t").cast("timestamp_ntz"))
 
