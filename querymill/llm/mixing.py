@@ -22,7 +22,7 @@ MAX_EPOCHS = 3
 
 BLOCK_WORDS = 32
 SLOTS_IN_CHUNK = 8192  # slots ranked in one task
-ROWS_IN_BUCKET = 8192  # documents of a source laid end to end in one task
+ROWS_IN_BUCKET = 2048  # documents of a source laid end to end in one task
 CELLS = 4096  # of the unit interval, for the join of points with shares
 STEP = 2654435761  # 2**32 divided by the golden ratio, an odd number
 

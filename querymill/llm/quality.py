@@ -276,13 +276,15 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
         F.col("lang").eqNullSafe(F.col("_lang0")) & F.col("source").eqNullSafe(F.col("_source0")),
         "left",
     ).join(levels[1], F.col("lang").eqNullSafe(F.col("_lang1")), "left")
-    # At most one row; without any document that passed the base there is none.
-    overall = levels[2].select("_fences2")
-    joined = joined.join(F.broadcast(overall), F.lit(True), "left")
-
     chosen = F.when(F.col("_fences0.n") >= MIN_DOCUMENTS, F.col("_fences0"))
     chosen = chosen.when(F.col("_fences1.n") >= MIN_DOCUMENTS, F.col("_fences1"))
-    chosen = chosen.otherwise(F.col("_fences2"))
+    # Fences of all documents are one row; without any that passed the base, none.
+    overall = levels[2].first()
+    if overall is not None:
+        fields = overall["_fences2"].asDict()
+        chosen = chosen.otherwise(
+            F.struct(*[F.lit(v).cast("long").alias(k) for k, v in fields.items()])
+        )
     within = F.lit(True)
     for (name, _, _), rate in zip(RATES, _rates(), strict=True):
         within = within & rate.between(F.col(f"_chosen.{name}_low"), F.col(f"_chosen.{name}_high"))

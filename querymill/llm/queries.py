@@ -5,9 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querymill.llm import minhash, mixing, quality
+from querymill.llm import bpe, html_text, minhash, mixing, pii, quality, resampling, toxicity
 from querymill.llm.common import table
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def vocabulary(name: str = TOKENIZER) -> str:
+    """Content of a public tokenizer's file, read by the driver."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -15,21 +25,53 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sizes).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    tested = docs.select("doc_id", "text", toxicity.held_out(F.col("doc_id")).alias("held_out"))
+    return toxicity.score(tested, model, ["doc_id", "held_out"])
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     return quality.judge(docs).select("doc_id", *quality.BASE, "base_failed", "kept")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, vocabulary(), ["doc_id"], digests=True)
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages), ["page_id", "url"])
+
+
+def op9_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return resampling.resample(docs, table(spark, sf_dir, "labels"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.train(docs), ["doc_id"])
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_mixing,
+        op2_toxicity,
         op4_quality_rules,
+        op5_bpe,
         op6_minhash_dedup,
+        op7_html_text,
+        op9_resampling,
+        op10_pii,
     )
 }
 
