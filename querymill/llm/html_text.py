@@ -1,11 +1,12 @@
 """Main text of web pages: the stretch between tags that scores highest.
 
-A page is a row of words and tags. Each word scores one, each tag less than nothing,
-by its name and class. One scan finds the stretch with the greatest sum; that is the
-article. Tag scores are learned from pages that mark their article by a tag: wherever
-another stretch scores more than the marked one, the scores of the tags that make the
-difference are moved. Words outside the mark count triple and those inside a half
-meanwhile, so that the marked stretch wins by a margin later.
+A page is a row of words and tags. Each word scores more than nothing, by the element
+it stands in, each tag less than nothing, by its name and class. One scan finds the
+stretch with the greatest sum; that is the article. The scores are learned from pages
+that mark their article by a tag. A word scores the share of its element's words that
+lie within marks. Wherever another stretch scores more than the marked one, the scores
+of the tags that make the difference are moved. Words outside the mark count triple
+and those inside a half meanwhile, so that the marked stretch wins by a margin later.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 TRAINING_PAGES = 300
 TRAINING_CHARS = 20_000  # longer pages are not drawn
 ROUNDS = 12
+DEPTH = 200  # of open elements that are told apart
 LEAST, MOST = -80.0, -0.02  # score of a tag
 MARKS = ("article", "main")
 
@@ -81,6 +83,22 @@ class Page:
         """What tags are scored by."""
         return [f"{name}.{kind.split()[0]}" if kind.split() else name for name, kind in self.tags]
 
+    def elements(self) -> list[str]:
+        """Key of the innermost open element about each piece, but for inline ones."""
+        open_tags: list[tuple[str, str]] = [("", "")]
+        found = [""]
+        for (name, _), key in zip(self.tags, self.keys(), strict=True):
+            plain = name.lstrip("/")
+            if plain not in _INLINE and plain not in _VOID:
+                if name == plain:
+                    open_tags.append((name, key))
+                    del open_tags[1 : max(1, len(open_tags) - DEPTH)]
+                elif any(n == plain for n, _ in open_tags):
+                    while open_tags.pop()[0] != plain:
+                        pass
+            found.append(open_tags[-1][1])
+        return found
+
     def marked(self) -> tuple[int, int] | None:
         """First and last piece within the one element that marks the article."""
         names = [name for name, _ in self.tags]
@@ -104,7 +122,7 @@ class Page:
                         if not depth:
                             closing = ""
                 elif name == plain and name not in _VOID:
-                    if name in _ASIDE or (kind and _ASIDE_CLASS.search(kind)):
+                    if _aside(name, kind):
                         closing, depth = name, 1
                 if plain not in _INLINE:
                     out.append(" ")
@@ -132,10 +150,11 @@ def best_stretch(words: list[float], tags: list[float]) -> tuple[int, int] | Non
 
 
 class Scores:
-    """Scores of tags: by name and class, else by name, else a default."""
+    """Scores of tags and words: by name and class, else by name, else a default."""
 
     def __init__(self) -> None:
         self.by_key: dict[str, float] = {}
+        self.word_in: dict[str, float] = {}
 
     def of(self, key: str) -> float:
         known = self.by_key.get(key)
@@ -144,12 +163,29 @@ class Scores:
             known = self.by_key.get(name)
             if known is None:
                 known = -0.2 if name.lstrip("/") in _INLINE else -1.0
-            if kind and _ASIDE_CLASS.search(kind) or name.lstrip("/") in _ASIDE:
+            if _aside(name.lstrip("/"), kind):
                 known = min(known, -20.0)
         return known
 
+    def word(self, element: str) -> float:
+        known = self.word_in.get(element)
+        if known is None:
+            name, _, kind = element.partition(".")
+            known = 0.01 if _aside(name, kind) else self.word_in.get(name, 0.5)
+        return known
+
+    def words(self, page: Page) -> list[float]:
+        return [
+            n * self.word(e) if n else 0.0
+            for n, e in zip(page.words, page.elements(), strict=True)
+        ]
+
     def stretch(self, page: Page) -> tuple[int, int] | None:
-        return best_stretch([float(w) for w in page.words], [self.of(k) for k in page.keys()])
+        return best_stretch(self.words(page), [self.of(k) for k in page.keys()])
+
+
+def _aside(name: str, kind: str) -> bool:
+    return name in _ASIDE or bool(kind and _ASIDE_CLASS.search(kind))
 
 
 def fit(pages: list[str]) -> Scores:
@@ -163,21 +199,31 @@ def fit(pages: list[str]) -> Scores:
         pieces = [k for k in range(mark[0], mark[1] + 1) if page.words[k]] if mark else []
         if pieces:
             known.append((page, pieces[0], pieces[-1], page.keys()))
+    inside, everywhere = Counter(), Counter()
+    for page, first, last, _ in known:
+        for k, element in enumerate(page.elements()):
+            everywhere[element] += page.words[k]
+            if first <= k <= last:
+                inside[element] += page.words[k]
+    for element, n in everywhere.items():
+        if n:
+            scores.word_in[element] = (inside[element] + 0.1) / (n + 0.2)
     for turn in range(ROUNDS):
         wrong = 0
         for page, first, last, keys in known:
             hard = [
-                w * (0.5 if first <= k <= last else 3.0) for k, w in enumerate(page.words)
+                w * (0.5 if first <= k <= last else 3.0)
+                for k, w in enumerate(scores.words(page))
             ]
             found = best_stretch(hard, [scores.of(k) for k in keys])
             if found == (first, last) or found is None:
                 continue
             wrong += 1
-            inside = Counter(keys[first:last])
-            inside.subtract(keys[found[0] : found[1]])
-            moved = sum(abs(n) for n in inside.values()) or 1
+            more = Counter(keys[first:last])
+            more.subtract(keys[found[0] : found[1]])
+            moved = sum(abs(n) for n in more.values()) or 1
             rate = max(1.0, (found[1] - found[0]) / moved) * (4.0 if turn < ROUNDS // 2 else 1.0)
-            for key, n in inside.items():
+            for key, n in more.items():
                 if n:
                     step = rate * max(-3, min(3, n))
                     scores.by_key[key] = min(MOST, max(LEAST, scores.of(key) + step))
