@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querymill.llm import bpe, html_text, minhash, mixing, pii, quality, resampling, toxicity
+from querymill.llm import bpe, embedding_dedup, html_text, minhash, mixing, pii, quality, resampling, toxicity
 from querymill.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -32,6 +32,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(tested, model, ["doc_id", "held_out"])
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     return quality.judge(docs).select("doc_id", *quality.BASE, "base_failed", "kept")
@@ -66,6 +70,7 @@ QUERIES = {
     for query in (
         op1_mixing,
         op2_toxicity,
+        op3_embedding_dedup,
         op4_quality_rules,
         op5_bpe,
         op6_minhash_dedup,
