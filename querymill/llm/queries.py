@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querymill.llm import bpe, embedding_dedup, html_text, minhash, mixing, pii, quality, resampling, toxicity
+from querymill.llm import bpe, embedding_dedup, html_text, minhash, mixing, passages, pii, quality, resampling, toxicity
 from querymill.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -55,6 +55,10 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages, html_text.train(pages), ["page_id", "url"])
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return resampling.resample(docs, table(spark, sf_dir, "labels"))
@@ -75,6 +79,7 @@ QUERIES = {
         op5_bpe,
         op6_minhash_dedup,
         op7_html_text,
+        op8_passages,
         op9_resampling,
         op10_pii,
     )
