@@ -1,3 +1,65 @@
-STAGES = []
+"""Preparation of a text corpus: filter, deduplicate, redact, mix, encode.
+
+Each stage takes the documents that the one before it kept, written as Parquet and read
+again, and returns documents; the last one returns encoded texts.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from querymill.llm import bpe, minhash, mixing, pii, quality
+from querymill.llm.queries import vocabulary
+from querymill.session import materialize
+
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base and lie within their group's fences."""
+    return quality.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest doc_id, of each group of near-duplicates."""
+    groups = minhash.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    others = materialize(groups.where("NOT kept").select("doc_id").distinct(), "others")
+    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind."""
+    lengths = "n_chars" if "n_chars" in docs.columns else None
+    return pii.redact(docs, pii.train(docs), lengths)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes, a row for each document and epoch."""
+    return mixing.mixed_documents(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text, their number, and the text that they decode to."""
+    ids = bpe.encode(docs, vocabulary(), ["doc_id", "lang", "source"])
+    return bpe.decode(ids, vocabulary()).withColumn("n_tokens", bpe.n_tokens(F.col("ids")))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("source_mix", source_mix),
+    ("encoded", encoded),
+]
+
+# Neither the tagger nor the encoding can be said in SQL.
 ORACLE_SQL = None
-def run(spark, sf_dir): return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

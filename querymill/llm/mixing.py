@@ -240,3 +240,42 @@ def mix(sizes: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 1) -> Data
         sum(each[1:], each[0]).alias("taken"),
         F.filter(F.array(*each), lambda n: n > 0).alias("takes"),
     )
+
+
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 1) -> DataFrame:
+    """The mix itself: texts as ``docs`` has them, once for each epoch that takes some.
+
+    ``docs`` needs doc_id, source and text. A document of which an epoch takes the first
+    words only comes with its text up to the last of them; one that is not taken does not
+    come at all, and so documents without words do not. ``n_chars``, if there, is set to
+    the length of the text. Other columns stay as they are.
+    """
+    size = word_count(F.col("text"))
+    named = F.struct("doc_id", "source", F.col("_size").alias("size"))
+    rows = docs.withColumn("_size", size).withColumn("_key", F.to_json(named))
+    sizes = rows.select("doc_id", "source", F.col("_size").alias("size"))
+    taken = (
+        mix(sizes, block_words, seed)
+        .groupBy(F.to_json(F.struct("doc_id", "source", "size")).alias("_key"))
+        .agg(F.sort_array(F.collect_list(F.struct("copy", "takes"))).alias("_all"))
+    )
+    number = F.row_number().over(Window.partitionBy("_key").orderBy("text"))
+    pieces = (
+        rows.withColumn("_number", number)
+        .join(taken, "_key")
+        .withColumn("_take", F.explode(F.get("_all", F.col("_number") - 1)["takes"]))
+    )
+    cut = F.when(F.col("_take") == F.col("_size"), F.col("text")).otherwise(
+        first_words(F.col("text"), F.col("_take"))
+    )
+    out = pieces.withColumn("text", cut)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select([F.col(f"`{c}`") for c in docs.columns])
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of word n."""
+    # Each element is a word with the white space before it.
+    words = F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
+    return F.array_join(F.slice(words, F.lit(1), n.cast("int")), "")

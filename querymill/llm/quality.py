@@ -160,7 +160,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup")
         ),
     )
-    kept = [c for c in docs.columns if c != text and c not in BASE]
+    kept = [c for c in docs.columns if c != text and c not in (*BASE, "n_lines")]
     return docs.select(
         *[F.col(f"`{c}`") for c in kept],
         counts.alias("_words"),
@@ -243,34 +243,38 @@ def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return quartiles.groupBy(*keys).agg(F.max("n").alias("n"), *bounds)
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Base counts, ``base_failed`` and ``kept`` of every document, beside its columns.
+def _base_failed() -> Column:
+    return (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
 
-    Needs the columns ``lang`` and ``source``; NULL is a group of its own in either.
-    ``base_failed``: fewer than ten words, or over a fifth of them in repeated
-    windows. Documents that passed the base make the sketches. A group of fewer than
-    ``MIN_DOCUMENTS`` takes its language's fences, a small language those of all.
-    ``kept``: base passed, and every rate within the fences. Empty, blank and NULL
-    texts have no words and fail. Columns of ``docs`` named like a count are
-    replaced; no rows give no rows. Rows are neither merged nor told apart.
+
+def learn(measured: DataFrame) -> list[DataFrame]:
+    """Fences by language and source, by language, and of all documents.
+
+    From the documents of ``measured`` that pass the base; NULL is a language or source
+    of its own. Tables of one row per group, each in files of its own; the last one has
+    one row, or none without any document that passed.
     """
-    measured = measure(docs, text)
-    failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
-    own = [c for c in measured.columns if c not in ("base_failed", "kept")]
-    measured = materialize(
-        measured.select(*[F.col(f"`{c}`") for c in own], failed.alias("base_failed")), "measured"
-    )
-    passed = measured.where(~F.col("base_failed")).select("lang", "source", *_rates())
+    passed = measured.where(~_base_failed()).select("lang", "source", *_rates())
     fine = materialize(sketch(passed, ["lang", "source"]), "sketch")
     levels = []
     for depth, keys in enumerate((["lang", "source"], ["lang"], [])):
-        bounds = fences(fine if depth == 0 else merge(fine, keys), keys)
+        bounds = fences(merge(fine, keys) if depth else fine, keys)
         levels.append(
-            bounds.select(
-                *[F.col(k).alias(f"_{k}{depth}") for k in keys],
-                F.struct(*[c for c in bounds.columns if c not in keys]).alias(f"_fences{depth}"),
+            materialize(
+                bounds.select(
+                    *[F.col(k).alias(f"_{k}{depth}") for k in keys],
+                    F.struct(*[c for c in bounds.columns if c not in keys]).alias(
+                        f"_fences{depth}"
+                    ),
+                ),
+                "fences",
             )
         )
+    return levels
+
+
+def verdict(measured: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``measured`` with ``base_failed`` and ``kept``."""
     joined = measured.join(
         levels[0],
         F.col("lang").eqNullSafe(F.col("_lang0")) & F.col("source").eqNullSafe(F.col("_source0")),
@@ -278,7 +282,6 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     ).join(levels[1], F.col("lang").eqNullSafe(F.col("_lang1")), "left")
     chosen = F.when(F.col("_fences0.n") >= MIN_DOCUMENTS, F.col("_fences0"))
     chosen = chosen.when(F.col("_fences1.n") >= MIN_DOCUMENTS, F.col("_fences1"))
-    # Fences of all documents are one row; without any that passed the base, none.
     overall = levels[2].first()
     if overall is not None:
         fields = overall["_fences2"].asDict()
@@ -288,7 +291,36 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     within = F.lit(True)
     for (name, _, _), rate in zip(RATES, _rates(), strict=True):
         within = within & rate.between(F.col(f"_chosen.{name}_low"), F.col(f"_chosen.{name}_high"))
-    kept = ~F.col("base_failed") & F.coalesce(within, F.lit(True))
+    own = [c for c in measured.columns if c not in ("base_failed", "kept")]
     return joined.withColumn("_chosen", chosen).select(
-        *[F.col(f"`{c}`") for c in measured.columns], kept.alias("kept")
+        *[F.col(f"`{c}`") for c in own],
+        _base_failed().alias("base_failed"),
+        (~_base_failed() & F.coalesce(within, F.lit(True))).alias("kept"),
     )
+
+
+def judge(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Base counts, ``base_failed`` and ``kept`` of every document, beside its columns.
+
+    Needs the columns ``lang`` and ``source``; NULL is a group of its own in either.
+    ``base_failed``: fewer than ten words, or over a fifth of them in repeated
+    windows. Documents that passed the base make the sketches. A group of fewer than
+    ``MIN_DOCUMENTS`` takes its language's fences, a small language those of all.
+    ``kept``: base passed, and every rate within the fences. Empty, blank and NULL
+    texts have no words and fail. Columns of ``docs`` named like a count are
+    replaced; no rows give no rows. Rows are neither merged nor told apart.
+    """
+    measured = materialize(measure(docs, text), "measured")
+    return verdict(measured, learn(measured))
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns and no others.
+
+    Texts are counted twice, for the fences and to decide, and so never shuffled.
+    """
+    columns = ["lang", "source", "text"]
+    measured = materialize(measure(docs.select(columns)).select("lang", "source", *BASE, "n_lines"))
+    levels = learn(measured)
+    packed = docs.select(F.struct("*").alias("_row"), *columns)
+    return verdict(measure(packed), levels).where("kept").select("_row.*")
