@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,3 +26,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     even into their loops.
     """
     return F.transform(F.array(value), body)[0]
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Groups of two rows or more, of rows that come sorted by integer keys."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        if rest is not None:
+            rows = pa.concat_tables([rest, rows])
+        found = np.stack([rows.column(k).to_numpy() for k in keys])
+        ends = np.flatnonzero((found[:, 1:] != found[:, :-1]).any(axis=0)) + 1
+        at = 0
+        for end in ends.tolist():
+            if end - at > 1:
+                yield rows.slice(at, end - at)
+            at = end
+        rest = rows.slice(at)
+    if rest is not None and rest.num_rows > 1:
+        yield rest

@@ -61,10 +61,17 @@ def _follow(labels: DataFrame, hooks: DataFrame) -> DataFrame:
 
 def _roots(hooks: DataFrame) -> DataFrame:
     """Hooks followed to nodes that are hooked to themselves; steps double each time."""
+    onward = hooks.select(F.col("node").alias("component"), F.col("component").alias("_next"))
     while True:
-        moving = hooks.where("node <> component").select(
-            F.col("node").alias("component"), F.lit(True).alias("_on")
+        followed = materialize(
+            hooks.join(onward, "component").select(
+                "node",
+                F.col("_next").alias("component"),
+                (F.col("_next") != F.col("component")).alias("moved"),
+            ),
+            "hooks",
         )
-        if hooks.join(moving, "component", "left_semi").isEmpty():
+        hooks = followed.select("node", "component")
+        if followed.where("moved").isEmpty():
             return hooks
-        hooks = _follow(hooks, hooks)
+        onward = hooks.select(F.col("node").alias("component"), F.col("component").alias("_next"))

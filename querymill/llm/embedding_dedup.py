@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from querymill.llm.common import groups
 from querymill.llm.components import components
 from querymill.session import materialize
 
@@ -123,7 +124,7 @@ def _compare(grouped: DataFrame, cosine: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         window = DEVIATIONS * np.sqrt(2 - 2 * cosine)
         known: dict[int, np.ndarray] = {}
-        for table, ids, copies, vectors, cells, sides in _groups(batches):
+        for table, ids, copies, vectors, cells, sides in map(_unpacked, groups(batches, _KEY)):
             size = vectors.shape[1]
             if size not in known:
                 known[size] = _directions(size, SEED + 2, PROJECTIONS)
@@ -158,27 +159,6 @@ def _compare(grouped: DataFrame, cosine: float) -> DataFrame:
     return grouped.mapInArrow(run, "a long, b long, n long")
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Groups of rows that come sorted by key."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.Table.from_batches([batch])
-        if rest is not None:
-            rows = pa.concat_tables([rest, rows])
-        keys = np.stack([rows.column(k).to_numpy() for k in _KEY])
-        ends = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        at = 0
-        for end in ends.tolist():
-            if end - at > 1:
-                yield _unpacked(rows.slice(at, end - at))
-            at = end
-        rest = rows.slice(at)
-    if rest is not None and rest.num_rows > 1:
-        yield _unpacked(rest)
-
-
 def _unpacked(rows: pa.Table) -> tuple:
     rows = rows.combine_chunks()
     one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()

@@ -13,8 +13,8 @@ threshold, but for a chance of ``MISSED``, so of each document
 Documents that meet and collide often enough are linked if their full shingle sets
 are similar enough. Documents with equal sets are one from the start. A group of near
 copies meets at many values with all its members; there, members are first compared
-with one of them only, and afterwards just those pairs that no chain of links joins.
-That loses no component, and the work follows the number of documents, not of pairs.
+with one of them only, twice, and afterwards just those pairs are that no chain of links
+joins. That loses no component.
 """
 
 from __future__ import annotations
@@ -28,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querymill.llm.common import WORDS
+from querymill.llm.common import WORDS, groups
 from querymill.llm.components import components
 from querymill.session import materialize
 
 HASHES = 48
-MISSED = 1e-7  # chance that two documents just similar enough collide too rarely
-STAR_ROUNDS = 8
+MISSED = 1e-6  # chance that two documents just similar enough collide too rarely
+STAR_ROUNDS = 2
+FINE_HASHES = 256  # of documents that are compared with many others
+BLOCK = 1024  # documents of a key compared with as many others in one task
 
 _U64 = np.uint64
 _LOWER = str.maketrans({c: chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
@@ -47,17 +49,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
-_SEEDS = _mix(np.arange(1, HASHES + 1, dtype=_U64) * _U64(0x9E3779B97F4A7C15))
+_SEEDS = _mix(np.arange(1, HASHES + FINE_HASHES + 1, dtype=_U64) * _U64(0x9E3779B97F4A7C15))
 
 
-def matches_for(percent: int) -> int:
+def matches_for(percent: int, hashes: int = HASHES) -> int:
     """Most collisions that similar documents have but for a chance of ``MISSED``."""
     p, below = percent / 100, 0.0
-    for n in range(HASHES):
-        below += comb(HASHES, n) * p**n * (1 - p) ** (HASHES - n)
+    for n in range(hashes):
+        below += comb(hashes, n) * p**n * (1 - p) ** (hashes - n)
         if below > MISSED:
             return max(n, 1)
-    return HASHES
+    return hashes
 
 
 class _Words:
@@ -95,18 +97,28 @@ def shingle_set(text: str | None, width: int, words: _Words) -> np.ndarray:
     return np.unique(out)
 
 
-def _signature(shingles: np.ndarray) -> np.ndarray:
-    """Least hash under each function, with the function's number in the low bits."""
-    least = np.full(HASHES, np.iinfo(_U64).max, _U64)
+def _least_hashes(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    least = np.full(len(seeds), np.iinfo(_U64).max, _U64)
     for at in range(0, len(shingles), 1024):
-        x = shingles[None, at : at + 1024] ^ _SEEDS[:, None]
+        x = shingles[None, at : at + 1024] ^ seeds[:, None]
         x ^= x >> _U64(32)
         x *= _U64(0x9FB21C651E98DF25)
         x ^= x >> _U64(28)
         np.minimum(least, x.min(axis=1), out=least)
+    return least
+
+
+def _signature(shingles: np.ndarray) -> np.ndarray:
+    """Least hash under each function, with the function's number in the low bits."""
+    least = _least_hashes(shingles, _SEEDS[:HASHES])
     return (least & ~_U64(63)) | np.arange(HASHES, dtype=_U64)
 
 
+def _fine_signature(shingles: np.ndarray) -> np.ndarray:
+    """16 bits of the least hash under each of the further functions."""
+    return (_least_hashes(shingles, _SEEDS[HASHES:]) >> _U64(20)).astype(np.int16)
+
+
 def _signed(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, n_shingles, set_hash, set_check, signature``; no signature without shingles."""
 
@@ -138,22 +150,24 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, shingles``: the full shingle sets."""
+    """``doc_id, shingles, fine``: the full shingle sets, and longer signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for at in range(0, len(texts), 256):
-                sets = [
-                    shingle_set(text, width, words).view(np.int64) for text in texts[at : at + 256]
-                ]
+                sets = [shingle_set(text, width, words) for text in texts[at : at + 256]]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, 256), pa.array(sets, pa.list_(pa.int64()))],
-                    names=["doc_id", "shingles"],
+                    [
+                        ids.slice(at, 256),
+                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                        pa.array([_fine_signature(s) for s in sets], pa.list_(pa.int16())),
+                    ],
+                    names=["doc_id", "shingles", "fine"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.mapInArrow(run, "doc_id long, shingles array<long>, fine array<short>")
 
 
 def _named(df: DataFrame, end: str) -> DataFrame:
@@ -164,18 +178,25 @@ def _named(df: DataFrame, end: str) -> DataFrame:
     )
 
 
-def _links(pairs: DataFrame, posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the distinct pairs ``(a, b)`` that are similar enough.
-
-    First by collisions of the signatures, then on the full sets.
-    """
+def _colliding(pairs: DataFrame, posted: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Those of the pairs ``(a, b)`` whose signatures collide often enough."""
+    shared = posted.select("doc_id", "n_shingles", "shared")
     sizes = ("n_shingles_a", "n_shingles_b")
-    counted = pairs.join(_named(posted, "b"), "b").join(_named(posted, "a"), "a")
-    close = counted.where(
-        (F.least(*sizes) * 100 >= F.greatest(*sizes) * percent)
-        & (F.size(F.array_intersect("shared_a", "shared_b")) >= matches_for(percent))
-    ).select("a", "b")
-    full = close.join(_named(sets, "b"), "b").join(_named(sets, "a"), "a")
+    return (
+        pairs.join(_named(shared, "b"), "b")
+        .join(_named(shared, "a"), "a")
+        .where(
+            (F.least(*sizes) * 100 >= F.greatest(*sizes) * percent)
+            & (F.size(F.array_intersect("shared_a", "shared_b")) >= matches)
+        )
+        .select("a", "b")
+    )
+
+
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``(a, b)`` whose full shingle sets are similar enough."""
+    sets = sets.select("doc_id", "shingles")
+    full = pairs.join(_named(sets, "b"), "b").join(_named(sets, "a"), "a")
     both = F.size(F.array_intersect("shingles_a", "shingles_b"))
     either = F.size("shingles_a") + F.size("shingles_b") - both
     return full.where(both * 100 >= either * percent).select("a", "b")
@@ -191,55 +212,129 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
 
 
+_MEETING = ["key", "one", "two"]
+
+
+def _close_pairs(
+    mine: DataFrame, posted: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs of different components that meet at a key and collide often enough.
+
+    ``mine`` has key, doc_id, component and the key's ``largest`` component; only the
+    documents outside that one are compared with all. A key with many documents is cut into blocks;
+    each pair of blocks is one group. The longer signatures are compared within the
+    group, and a pair comes out at the first of the keys where it meets.
+    """
+    matches = matches_for(percent, FINE_HASHES)
+    sizes = mine.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocked = sizes.where("blocks > 1")
+    own = F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1))).cast("int")
+    meets = F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)
+    dealt = (
+        mine.join(blocked, "key", "left")
+        .withColumn("outside", F.col("component") != F.col("largest"))
+        .select(
+            "key", "doc_id", "component", "outside", own.alias("block"), F.explode(meets).alias("other")
+        )
+        .withColumn("one", F.least("block", "other"))
+        .withColumn("two", F.greatest("block", "other"))
+        .join(posted.join(sets.select("doc_id", "fine"), "doc_id"), "doc_id")
+        .select(
+            *_MEETING, "block", "doc_id", "component", "outside", "n_shingles", "shared", "fine"
+        )
+        .repartition(*_MEETING)
+        .sortWithinPartitions(*_MEETING)
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, _MEETING):
+            n = rows.column("n_shingles").to_numpy()
+            ids, component = rows.column("doc_id").to_numpy(), rows.column("component").to_numpy()
+            block = rows.column("block").to_numpy()
+            flat = rows.column("fine").combine_chunks().flatten().to_numpy()
+            signature = np.ascontiguousarray(flat.reshape(len(ids), FINE_HASHES).T)
+            crossing = rows.column("one")[0].as_py() != rows.column("two")[0].as_py()
+            found_a, found_b = [], []
+            outside = rows.column("outside").to_numpy()
+            compared = np.flatnonzero(outside)
+            for at in range(0, len(compared), 128):
+                part = compared[at : at + 128]
+                counts = np.zeros((len(part), len(ids)), np.int16)
+                for row in signature:
+                    counts += row[part, None] == row[None, :]
+                good = (counts >= matches) & (component[part, None] != component[None, :])
+                # Two documents outside are compared from either side.
+                good &= ~outside[None, :] | (ids[part, None] < ids[None, :])
+                low, high = np.minimum(n[part, None], n), np.maximum(n[part, None], n)
+                good &= low * 100 >= high * percent
+                if crossing:
+                    good &= block[part, None] != block[None, :]
+                a, b = np.nonzero(good)
+                found_a += part[a].tolist()
+                found_b += b.tolist()
+            if not found_a:
+                continue
+            key, shared = rows.column("key")[0].as_py(), rows.column("shared")
+            lists = {k: shared[k].as_py() for k in {*found_a, *found_b}}
+            sets = {k: frozenset(v) for k, v in lists.items()}
+            pairs = [
+                (int(min(ids[a], ids[b])), int(max(ids[a], ids[b])))
+                for a, b in zip(found_a, found_b, strict=True)
+                if next(k for k in lists[a] if k in sets[b]) == key
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"]
+            )
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _mixed(postings: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, int]:
+    """Postings at keys where different components meet, with the documents' component
+    and the key's ``largest`` one; and the number of pairs that meet there."""
+    mine = materialize(_labelled(postings, labels), "postings")
+    sizes = mine.groupBy("key", "component").count()
+    squares = F.sum(F.col("count") * F.col("count"))
+    keys = materialize(
+        sizes.groupBy("key")
+        .agg(
+            ((F.sum("count") * F.sum("count") - squares) / 2).cast("long").alias("pairs"),
+            F.max(F.struct("count", "component"))["component"].alias("largest"),
+        )
+        .where("pairs > 0"),
+        "keys",
+    )
+    n_pairs = keys.agg(F.sum("pairs")).first()[0] or 0
+    return mine.join(keys.select("key", "largest"), "key"), n_pairs
+
+
 def _component_links(
-    postings: DataFrame, posted: DataFrame, sets: DataFrame, percent: int
+    postings: DataFrame, posted: DataFrame, sets: DataFrame, matches: int, percent: int
 ) -> DataFrame | None:
     """Component of each posted document, ``(node, component)``; None without any link."""
-    links, labels, before = None, None, None
-    n_postings = postings.count()
-    for turn in range(STAR_ROUNDS):
-        mine = materialize(_labelled(postings, labels), "postings")
-        sizes = mine.groupBy("key", "component").count()
-        squares = F.sum(F.col("count") * F.col("count"))
-        mixed = materialize(
-            sizes.groupBy("key")
-            .agg(
-                ((F.sum("count") * F.sum("count") - squares) / 2).cast("long").alias("pairs"),
-                F.max(F.struct("count", "component"))["component"].alias("largest"),
-            )
-            .where("pairs > 0"),
-            "keys",
-        )
-        n_pairs = mixed.agg(F.sum("pairs")).first()[0]
+    links, labels = None, None
+    for turn in range(STAR_ROUNDS + 1):
+        mine, n_pairs = _mixed(postings, labels)
         if not n_pairs:
             break
-        mine = mine.join(mixed.select("key", "largest"), "key")
-        outside = mine.where("component <> largest")
-        # Few pairs are left, or stars no longer help: compare all that remain.
-        last = n_pairs <= 4 * n_postings or n_pairs == before or turn == STAR_ROUNDS - 1
-        if last:
-            others = mine.select(
-                "key", F.col("doc_id").alias("other"), F.col("component").alias("component_other")
-            )
-            pairs = outside.join(others, "key").where("component <> component_other")
-        else:
-            # Against one member of the largest component, another one in each round.
-            order = F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id")
+        if turn < STAR_ROUNDS:
+            # Against one member of the largest component: the first, then another one.
+            order = F.struct(F.xxhash64("doc_id") if turn else F.lit(0), "doc_id")
             centres = (
                 mine.where("component = largest")
                 .groupBy("key")
                 .agg(F.min(order)["doc_id"].alias("other"))
             )
-            pairs = outside.join(centres, "key")
-        pairs = pairs.select(
-            F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")
-        ).distinct()
-        found = materialize(_links(pairs, posted, sets, percent), "links")
+            pairs = mine.where("component <> largest").join(centres, "key")
+            pairs = pairs.select(
+                F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")
+            ).distinct()
+            pairs = _colliding(pairs, posted, matches, percent)
+        else:
+            pairs = _close_pairs(mine, posted, sets, percent)
+        found = materialize(_links(pairs, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
-        if last:
-            break
-        before = n_pairs
     return labels
 
 
@@ -271,13 +366,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     one_each = signed.join(firsts, ["doc_id", *sets_key], "left_semi")
     values = one_each.select("doc_id", "n_shingles", F.explode("signature").alias("key"))
     shared = values.groupBy("key").count().where("count > 1")
-    posted = materialize(
+    often = (
         values.join(shared, "key")
         .groupBy("doc_id", "n_shingles")
         .agg(F.sort_array(F.collect_set(F.struct("count", "key")))["key"].alias("shared"))
-        .where(F.size("shared") >= matches),
-        "posted",
+        .where(F.size("shared") >= matches)
     )
+    posted = materialize(often, "posted")
     postings = materialize(
         posted.select(
             "doc_id",
@@ -285,8 +380,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
         ),
         "postings",
     )
-    sets = materialize(_sets(texts.join(posted, "doc_id", "left_semi"), width), "sets")
-    labels = _component_links(postings, posted, sets, percent)
+    sets = materialize(_sets(texts.join(posted.select("doc_id"), "doc_id", "left_semi"), width), "sets")
+    labels = _component_links(postings, posted, sets, matches, percent)
     joined = signed.drop("signature").join(classes, sets_key, "left")
     if labels is None:
         component = F.col("first_id")
