@@ -9,14 +9,13 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from querymill.plans.queries import QUERIES
-from querymill.session import settings_for
+from querymill.session import release_scratch, settings_for
 
 HEADLINE = [
     "query_to_partitions",
@@ -54,7 +53,6 @@ def main() -> None:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
     )
     for key, value in settings_for(size, cpus).items():
         builder = builder.config(key, value)
@@ -75,6 +73,7 @@ def main() -> None:
             }
         )
     )
+    release_scratch(spark)
     spark.stop()
 
 

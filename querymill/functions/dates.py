@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the zone that run dates are taken in.
 DEFAULT_ZONE = "Asia/Singapore"
 
 

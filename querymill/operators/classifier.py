@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from querymill.operators.columns import drop_label, prediction_only
+from querymill.session import materialize
 from querymill.sinks.files import write_predictions
 from querymill.sources.files import scan_declared
 
@@ -25,9 +26,6 @@ INVERSE_PENALTY = 1.23456
 MAX_ITERATIONS = 987
 N_FEATURES = 4
 
-# More classes than this means the label column is no label.
-MAX_CLASSES = 10_000
-
 
 def train_classifier(
     df: DataFrame,
@@ -36,6 +34,7 @@ def train_classifier(
     inverse_penalty: float = INVERSE_PENALTY,
     max_iterations: int = MAX_ITERATIONS,
     tolerance: float = 1e-8,
+    max_classes: int = 10_000,
 ) -> PipelineModel:
     """Fit L2-penalised logistic regression of ``label`` on the first columns.
 
@@ -44,29 +43,28 @@ def train_classifier(
     vector for two. Spark averages the loss over the rows, hence the penalty
     1 / (inverse_penalty * rows) on unscaled features.
 
-    One pass counts the rows per class; the fit is then a series of distributed
+    A label column with more than ``max_classes`` values is refused: their counts and
+    weights come to the driver. One pass counts the rows per class; the fit is then a series of distributed
     aggregations over a copy that Spark keeps in memory and on disk. Only class
     counts and weights come to the driver.
     """
     features = df.columns[:n_features]
-    counts = {
-        row["label"]: row["count"]
-        for row in df.groupBy(F.col(label).cast("string").alias("label"))
-        .count()
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    }
+    per_class = materialize(
+        df.groupBy(F.col(f"`{label}`").cast("string").alias("label")).count(), "classes"
+    )
+    n_classes = per_class.where("label IS NOT NULL").count()
+    if not 2 <= n_classes <= max_classes:
+        raise ValueError(f"{label} has {n_classes} classes, need 2 to {max_classes}")
+    counts = {row["label"]: row["count"] for row in per_class.collect()}
     if None in counts:
         raise ValueError(f"{label} has missing values")
-    if not 2 <= len(counts) <= MAX_CLASSES:
-        raise ValueError(f"{label} has {len(counts)} classes, need 2 to {MAX_CLASSES}")
     classes = sorted(counts)
 
     assembler = VectorAssembler(
         inputCols=features, outputCol="_features", handleInvalid="error"
     )
     indexer = StringIndexerModel.from_labels(
-        classes, inputCol=label, outputCol="_label", handleInvalid="error"
+        classes, inputCol="_label_text", outputCol="_label", handleInvalid="error"
     )
     regression = LogisticRegression(
         featuresCol="_features",
@@ -81,7 +79,8 @@ def train_classifier(
         maxIter=max_iterations,
         tol=tolerance,
     )
-    rows = indexer.transform(assembler.transform(df.select(*features, label)))
+    text = F.col(f"`{label}`").cast("string").alias("_label_text")
+    rows = indexer.transform(assembler.transform(df.select(*features, text)))
     fitted = regression.fit(rows.select("_features", "_label"))
     stages = [
         assembler,
@@ -124,7 +123,14 @@ def batch_score(
     schema: StructType | None = None,
     key_cols: Sequence[str] = (),
     label: str = "species",
+    multiline: bool = True,
+    own_csv: bool = False,
 ) -> None:
-    """Score every file under a prefix into Parquet: one pass, no shuffle."""
-    rows = scan_declared(spark, input_prefix, declared, schema)
+    """Score every file under a prefix into Parquet: one pass, no shuffle.
+
+    ``multiline`` and ``own_csv`` as in ``scan_prefix``.
+    """
+    rows = scan_declared(
+        spark, input_prefix, declared, schema, multiline=multiline, own_csv=own_csv
+    )
     write_predictions(predict(model, rows, key_cols, label), output_path, accept)

@@ -40,8 +40,8 @@ def latest_per_key(
     if not rest:
         return df.distinct()
     return (
-        df.groupBy(*keys)
+        df.groupBy(*[F.col(f"`{k}`") for k in keys])
         .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("_latest"))
-        .select(*keys, "_latest.*")
+        .select(*[F.col(f"`{k}`") for k in keys], "_latest.*")
         .select(*[F.col(f"`{c}`") for c in df.columns])
     )

@@ -24,6 +24,7 @@ from querymill.session import materialize
 # Bounds on what reaches the driver: the tree, one box per leaf, and the sample.
 MAX_LEAVES = 8192
 SAMPLE_ROWS = 16 * MAX_LEAVES
+SAMPLE_CELLS = 8 * SAMPLE_ROWS
 
 # Distances held in memory at once inside a task.
 BLOCK_CELLS = 2_000_000
@@ -41,7 +42,8 @@ def nearest_neighbor(
     """Label of the training row nearest to each test row.
 
     Euclidean distance in double precision; of equally near rows the one with
-    the smallest key counts. ``key`` identifies a row. Returns ``key``,
+    the smallest key counts. ``key`` identifies a row. Made for few dimensions: with
+    dozens of unrelated ones boxes rule out little. Returns ``key``,
     ``nearest_key``, ``predicted`` and ``distance`` for every test row.
     """
     dims = [f"_f{i}" for i in range(len(features))]
@@ -60,7 +62,9 @@ def nearest_neighbor(
         raise ValueError("no training rows")
     depth = min(math.ceil(math.log2(max(size / leaf_rows, 1))), int(math.log2(MAX_LEAVES)))
     leaf_of = _leaf_function(_sampled_tree(points.select(*dims), size, depth), depth)
-    points = points.withColumn("_leaf", leaf_of(*dims))
+    # Stored by leaf, so that a round's scan skips the files of other leaves.
+    leaved = points.withColumn("_leaf", leaf_of(*dims))
+    points = materialize(leaved.repartitionByRange("_leaf") if depth else leaved, "leaves")
     boxes = (
         points.groupBy("_leaf")
         .agg(
@@ -101,6 +105,7 @@ def _visit_leaves(
     waiting: DataFrame | None = None
     done: list[DataFrame] = []
     while True:
+        asked = materialize(asked, "asked")
         found = search.run(asked, label_type).select(
             "_key", *dims, F.struct("_square", "_near", "_label").alias("_best")
         )
@@ -123,8 +128,9 @@ def _visit_leaves(
 
 def _present(name: str) -> Column:
     value = F.col(name).cast("double")
-    missing = F.raise_error(F.lit(f"{name} has a missing value")).cast("double")
-    return F.when(value.isNull() | F.isnan(value), missing).otherwise(value)
+    missing = F.raise_error(F.lit(f"{name} has a missing value, or an infinite one")).cast("double")
+    infinite = F.abs(value) == float("inf")
+    return F.when(value.isNull() | F.isnan(value) | infinite, missing).otherwise(value)
 
 
 def _sampled_tree(points: DataFrame, size: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,9 +140,11 @@ def _sampled_tree(points: DataFrame, size: int, depth: int) -> tuple[np.ndarray,
     if inner == 0:
         return dims, cuts
     wanted = min(SAMPLE_ROWS, 64 * 2**depth)
-    fraction = min(1.0, 1.1 * wanted / size)
+    # The expected number of rows, so of no part of the table more than of another.
+    wanted = max(1, min(wanted, SAMPLE_CELLS // len(points.columns)))
+    fraction = wanted / size
     sample = points.sample(fraction=fraction, seed=1) if fraction < 1.0 else points
-    members = {0: sample.limit(wanted).toPandas().to_numpy(dtype=np.float64)}
+    members = {0: sample.toPandas().to_numpy(dtype=np.float64)}
     for node in range(inner):
         here = members.pop(node)
         if len(here) > 1:
@@ -268,11 +276,12 @@ class _LeafSearch:
             return lambda df: df.withColumns(
                 {"_row_chunks": F.lit(int(of_rows)), "_point_chunks": F.lit(int(of_points))}
             )
+        wanted = [int(leaf) for leaf in table["_leaf"]]
         chunks = rows.sparkSession.createDataFrame(
             [tuple(map(int, row)) for row in table.itertuples(index=False, name=None)],
             "_leaf int, _row_chunks int, _point_chunks int",
         )
-        return lambda df: df.join(F.broadcast(chunks), "_leaf")
+        return lambda df: df.where(F.col("_leaf").isin(wanted)).join(F.broadcast(chunks), "_leaf")
 
 
 def _nearest_in_group(dims: list[str]):

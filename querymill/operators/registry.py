@@ -8,6 +8,8 @@ writers does no harm.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from querymill.operators.limits import latest_per_key
 PENDING = "PendingManualApproval"
 APPROVED = "Approved"
 
+# Fixed value: end of an artifact's name.
 ARTIFACT = "-model.tar.gz"
 
 GROUPS = StructType(
@@ -43,17 +46,23 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -
     """Rows of ``new`` to append: keys not in ``existing``, one row per key.
 
     Both sides are cut to one row per key before they meet, so repeated keys
-    never gather in one task.
+    never gather in one task. NULL is a key like any other.
     """
-    rest = [c for c in new.columns if c not in keys]
-    if rest:
-        one = new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-        one = one.select(*keys, "_row.*").select(*new.columns)
-    else:
-        one = new.distinct()
-    return one.join(existing.select(*keys).distinct(), list(keys), "left_anti").select(
-        *new.columns
-    )
+    one = one_per_key(new, keys)
+    known = existing.select([F.col(f"`{k}`").alias(f"_known_{i}") for i, k in enumerate(keys)])
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_known_{i}")) for i, k in enumerate(keys)]
+    return one.join(known.distinct(), reduce(and_, same), "left_anti")
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of each key, always the same one of several; columns of any type."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    named = [F.col(f"`{k}`") for k in keys]
+    if not rest:
+        return df.distinct()
+    row = F.struct(*rest)
+    kept = df.groupBy(*named).agg(F.min_by(row, F.to_json(row)).alias("_row"))
+    return kept.select(*named, "_row.*").select([F.col(f"`{c}`") for c in df.columns])
 
 
 def new_packages(

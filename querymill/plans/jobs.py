@@ -16,12 +16,13 @@ from querymill.operators.evaluation import accuracy, train_test_split
 from querymill.operators.limits import preview
 from querymill.operators.neighbors import nearest_neighbor
 from querymill.operators.registry import approved, new_packages
+from querymill.session import materialize
 from querymill.sinks.files import dated_path, write_partitioned
 from querymill.sinks.registry import append_packages, create_registry, register_groups
 from querymill.sinks.versions import save_model_version, write_version
-from querymill.sources.files import scan_parquet
+from querymill.sources.files import scan_partitioned
 from querymill.sources.registry import read_packages
-from querymill.sources.versions import load_latest
+from querymill.sources.versions import load_latest, load_versions
 
 ARN_RECORD = StructType([StructField("model_package_arn", StringType())])
 
@@ -43,7 +44,7 @@ def query_to_partitions(
     rows = select_all(spark.sql(query))
     path = dated_path(root, run_date=run_date)
     write_partitioned(rows, path, partition_cols, max_records_per_file=max_records_per_file)
-    return scan_parquet(spark, path, schema=rows.schema)
+    return scan_partitioned(spark, path, rows.schema, partition_cols)
 
 
 def train_and_register(
@@ -103,11 +104,11 @@ def deploy_model(spark: SparkSession, root: str, name_base: str) -> DataFrame:
     """
     latest = load_latest(spark, f"{root}/package", "json", ARN_RECORD)
     packages = read_packages(spark, f"{root}/registry")
-    named = deployments(latest, packages, name_base)
+    named = materialize(deployments(latest, packages, name_base), "deployment")
     if named.isEmpty():
         raise ValueError("the latest package is not approved")
-    write_version(named, f"{root}/deployed", "json")
-    return load_latest(spark, f"{root}/deployed", "json", named.schema)
+    version = write_version(named, f"{root}/deployed", "json")
+    return load_versions(spark, f"{root}/deployed", [version], "json", named.schema)
 
 
 def stamp_and_preview(
@@ -115,8 +116,9 @@ def stamp_and_preview(
 ) -> DataFrame:
     """Add the load time, store as a new CSV version, show the first stored rows."""
     stamped = with_load_timestamp(df)
-    write_version(stamped, root, "csv")
-    return preview(load_latest(spark, root, "csv", stamped.schema), order_by=order_by)
+    version = write_version(stamped, root, "csv")
+    stored = load_versions(spark, root, [version], "csv", stamped.schema)
+    return preview(stored, order_by=order_by)
 
 
 def neighbor_accuracy(

@@ -47,7 +47,12 @@ _MODELS = """
         FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 ORACLE: dict[str, str] = {
-    "query_to_partitions": _DATE_PARTS + " ORDER BY o_orderkey LIMIT 5000",
+    "query_to_partitions": _DATE_PARTS,
+    "query_to_partitions_limit": _DATE_PARTS + " ORDER BY o_orderkey LIMIT 5000",
+    "partition_edge_values": """
+        SELECT doc_id, n_chars, CASE WHEN doc_id % 5 = 0 THEN ''
+                                     WHEN doc_id % 5 <> 1 THEN lang END AS lang
+        FROM documents""",
     "select_all": "SELECT * FROM lineitem",
     "date_parts": _DATE_PARTS,
     "date_parts_limit": _DATE_PARTS + " ORDER BY o_orderkey LIMIT 5000",
@@ -103,6 +108,9 @@ ORACLE: dict[str, str] = {
     "ctas_roundtrip": _DATE_PARTS,
     "csv_roundtrip": "SELECT * FROM customer",
     "csv_text_roundtrip": "SELECT * FROM documents",
+    "csv_one_column": """
+        SELECT CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 <> 1 THEN text END AS text
+        FROM documents""",
     "json_roundtrip": "SELECT * FROM customer",
     "json_text_roundtrip": "SELECT * FROM conversations",
     "latest_version": """
@@ -111,6 +119,11 @@ ORACLE: dict[str, str] = {
         SELECT *, '2026-01-01T00.00.00.000Z' AS version FROM customer
         UNION ALL
         SELECT *, '2026-01-02T00.00.00.000Z' AS version FROM customer WHERE c_acctbal >= 0""",
+    "all_versions_evolved": """
+        SELECT *, '2026-01-01T00.00.00.000Z' AS version FROM customer
+        UNION ALL BY NAME
+        SELECT c_custkey, c_name, c_nationkey, c_mktsegment,
+               '2026-01-02T00.00.00.000Z' AS version FROM customer""",
     "versions_from_paths": """
         SELECT *, 'v1' AS version FROM customer
         UNION ALL SELECT *, 'v2' AS version FROM customer WHERE c_acctbal >= 0""",
@@ -131,13 +144,18 @@ ORACLE: dict[str, str] = {
         SELECT label, round(sum(x0), 2) AS sum_x0, round(sum(x1), 2) AS sum_x1,
                round(sum(x2), 2) AS sum_x2, round(sum(x3), 2) AS sum_x3
         FROM points GROUP BY label""",
-    "batch_score": "SELECT vec_id, true AS agrees FROM embeddings",
+    "train_and_score": "SELECT o_orderkey, o_orderpriority AS predicted_score FROM orders",
+    "batch_score": "SELECT o_orderkey, o_orderpriority AS predicted_score FROM orders",
     "insert_if_absent": """
         SELECT * FROM customer WHERE NOT EXISTS (
             SELECT 1 FROM orders WHERE o_custkey = c_custkey
             AND o_orderdate >= timestamp '2001-01-01 00:00:00')""",
     "register_groups": """
         SELECT DISTINCT c_mktsegment AS model_group, '' AS description FROM customer""",
+    "groups_deduplicated": """
+        SELECT DISTINCT CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END
+                            AS model_group, '' AS description
+        FROM customer""",
     "register_packages": f"""
         WITH {_MODELS}
         SELECT model_group, version, model_package_arn,
@@ -168,8 +186,8 @@ ORACLE: dict[str, str] = {
         SELECT 'flower-model-' || model_group || '-' || version AS model_name, model_package_arn
         FROM models WHERE approval_status = 'Approved'""",
     "train_and_deploy": """
-        SELECT DISTINCT 'flower-model-test-2026-01-01' AS model_name,
-               'model-package/test/2026-01-01' AS model_package_arn
-        FROM embeddings""",
+        SELECT o_orderkey, o_orderpriority AS predicted_score,
+               'flower-model-test-2026-01-01' AS model_name
+        FROM orders""",
     "stamp_and_preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 5",
 } | {name: dataset.check_sql for name, dataset in SQL_DATASETS.items()}

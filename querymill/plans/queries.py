@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from uuid import uuid4
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from querymill.operators import (
 )
 from querymill.plans import jobs
 from querymill.plans.sql_datasets import SQL_DATASETS, SqlDataset
-from querymill.session import fresh_path
+from querymill.session import fresh_path, materialize
 from querymill.sinks import files as file_sinks
 from querymill.sinks import registry as registry_sinks
 from querymill.sinks import versions as version_sinks
@@ -79,14 +80,25 @@ def _order_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History of those packages: registered on the order's day, approved a day later
     where the order is closed."""
-    models = _order_models(spark, sf_dir)
-    made = registry.new_packages(models, MODEL_URL, at=F.col("o_orderdate"))
-    closed = models.where(F.col("o_orderstatus") == "F")
-    later = F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")
-    decided = registry.new_packages(closed, MODEL_URL, at=later).withColumn(
-        "approval_status", F.lit(registry.APPROVED)
+    made = registry.new_packages(
+        _order_models(spark, sf_dir), MODEL_URL, at=F.struct("o_orderdate", "o_orderstatus")
+    )
+    day = F.col("updated_at.o_orderdate")
+    events = F.array(
+        F.struct(day.alias("at"), F.col("approval_status").alias("status")),
+        F.when(
+            F.col("updated_at.o_orderstatus") == "F",
+            F.struct(
+                (day + F.expr("INTERVAL 1 DAY")).alias("at"), F.lit(registry.APPROVED).alias("status")
+            ),
+        ),
+    )
+    return (
+        made.withColumn("event", F.explode(F.filter(events, lambda e: e.isNotNull())))
+        .withColumn("approval_status", F.col("event.status"))
+        .withColumn("updated_at", F.col("event.at"))
+        .drop("event")
     )
-    return made.unionByName(decided)
 
 
 # ---------------------------------------------------------------- projections, functions
@@ -204,7 +216,7 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = date_parts(spark, sf_dir)
     path = fresh_path(spark, "orders")
     file_sinks.write_partitioned(rows, path, ["year", "month"], max_records_per_file=1_000_000)
-    return files.scan_parquet(spark, path, schema=rows.schema)
+    return files.scan_partitioned(spark, path, rows.schema, ["year", "month"])
 
 
 def pruned_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +254,19 @@ def bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_to_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: capped query, stored by month under a run date, read back."""
+    """Flagship: a query's rows stored by month under a run date, read back."""
+    _views(spark, sf_dir, "orders")
+    return jobs.query_to_partitions(
+        spark,
+        ORDERS_BY_MONTH,
+        fresh_path(spark, "nightly"),
+        run_date=date(2026, 1, 1),
+        max_records_per_file=1_000_000,
+    )
+
+
+def query_to_partitions_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a row cap in the query and small files."""
     _views(spark, sf_dir, "orders")
     return jobs.query_to_partitions(
         spark,
@@ -253,6 +277,14 @@ def query_to_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partition_edge_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text partition column with empty texts and NULLs, in files and in a table."""
+    lang = F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 5 != 1, F.col("lang"))
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "n_chars", lang.alias("lang"))
+    rows.createOrReplaceTempView("edge_documents")
+    return query_dataset(spark, "SELECT * FROM edge_documents", ["lang"])
+
+
 def query_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     _views(spark, sf_dir, "orders")
     return query_dataset(spark, ORDERS_BY_MONTH, ["year", "month"])
@@ -260,8 +292,14 @@ def query_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ctas_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     _views(spark, sf_dir, "orders")
-    name = f"temp_tbl_{uuid4().hex}"
-    return query_dataset(spark, ORDERS_BY_MONTH, ["year", "month"], as_table=name)
+    """Stored as a table; the table is dropped, its files are read."""
+    name, path = f"orders_by_month_{uuid4().hex}", fresh_path(spark, "table")
+    made = query_dataset(
+        spark, ORDERS_BY_MONTH, ["year", "month"], as_table=name, location=path
+    )
+    schema = made.schema
+    spark.sql(f"DROP TABLE {name}")
+    return files.scan_partitioned(spark, path, schema, ["year", "month"])
 
 
 def _sql(dataset: SqlDataset) -> Query:
@@ -292,6 +330,15 @@ def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.drop("version")
 
 
+def csv_one_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column of whole texts, some of them empty and some NULL."""
+    text = F.when(F.col("doc_id") % 7 == 0, "").when(F.col("doc_id") % 7 != 1, F.col("text"))
+    texts = _table(spark, sf_dir, "documents").select(text.alias("text"))
+    root = fresh_path(spark, "csv")
+    version_sinks.write_version(texts, root, "csv", max_records_per_file=100_000)
+    return version_sources.load_latest(spark, root, "csv", texts.schema).drop("version")
+
+
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _table(spark, sf_dir, "customer")
     root = fresh_path(spark, "json")
@@ -326,6 +373,16 @@ def all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return version_sources.load_versions(spark, _two_versions(spark, sf_dir))
 
 
+def all_versions_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A version without one of the columns of the version before."""
+    customer = _table(spark, sf_dir, "customer")
+    root = fresh_path(spark, "versions")
+    version_sinks.write_version(customer, root, version="2026-01-01T00.00.00.000Z")
+    shorter = customer.drop("c_acctbal")
+    version_sinks.write_version(shorter, root, version="2026-01-02T00.00.00.000Z")
+    return version_sources.load_versions(spark, root)
+
+
 def versions_from_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions in plain ``<root>/<version>/`` folders, named by the path alone."""
     customer = _table(spark, sf_dir, "customer")
@@ -338,16 +395,21 @@ def versions_from_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/part.parquet"
+    """Declared as a table, which is dropped again: that leaves the files."""
+    path, name = f"{sf_dir}/part.parquet", f"part_{uuid4().hex}"
     schema = files.scan_parquet(spark, path).schema
-    return tables.external_table(spark, f"part_{uuid4().hex}", path, schema)
+    declared = tables.external_table(spark, name, path, schema).schema
+    spark.sql(f"DROP TABLE {name}")
+    return files.scan_parquet(spark, path, schema=declared)
 
 
 def declared_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part")
     root = fresh_path(spark, "csv")
     version_sinks.write_version(part, root, "csv")
-    return files.scan_declared(spark, root, "text/csv", part.schema)
+    return files.scan_declared(
+        spark, root, "text/csv", part.schema, multiline=False, own_csv=True
+    )
 
 
 def declared_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,38 +501,48 @@ def fitted_feature_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with four indicators that tell their five priorities apart."""
+    marks = [(F.col("o_orderpriority").startswith(str(n))).cast("double") for n in (1, 2, 3, 4)]
+    return _table(spark, sf_dir, "orders").select(
+        *[m.alias(f"is_{n}") for n, m in enumerate(marks, start=1)],
+        "o_orderpriority",
+        "o_orderkey",
+    )
+
+
+def _priority_model(rows: DataFrame) -> PipelineModel:
+    return classifier.train_classifier(rows.drop("o_orderkey"), "o_orderpriority")
+
+
 def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit, save as a version, load the latest, predict."""
-    points = _points(spark, sf_dir)
-    model = classifier.train_classifier(points.select(*FEATURES, "label"), "label")
+    """Fit, save as a version, load the latest, predict classes that can be told apart."""
+    rows = _priorities(spark, sf_dir)
     root = fresh_path(spark, "models")
-    version_sinks.save_model_version(model, root)
+    version_sinks.save_model_version(_priority_model(rows), root)
     loaded = version_sources.load_latest_model(spark, root)
-    return classifier.predict(loaded, points, ["vec_id"], "label")
+    return classifier.predict(loaded, rows, ["o_orderkey"], "o_orderpriority")
 
 
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score stored CSV files into Parquet and compare with direct predictions."""
-    points = _points(spark, sf_dir)
-    model = classifier.train_classifier(points.select(*FEATURES, "label"), "label")
-    stored, scored = fresh_path(spark, "points"), fresh_path(spark, "scores")
-    version_sinks.write_version(points, stored, "csv")
+    """Score stored CSV files into Parquet."""
+    rows = _priorities(spark, sf_dir)
+    model = _priority_model(rows)
+    stored, scored = fresh_path(spark, "rows"), fresh_path(spark, "scores")
+    version_sinks.write_version(rows, stored, "csv")
     classifier.batch_score(
         spark,
         model,
         stored,
         scored,
         declared="text/csv",
-        schema=points.schema,
-        key_cols=["vec_id"],
-        label="label",
-    )
-    direct = classifier.predict(model, points, ["vec_id"], "label")
-    return (
-        files.scan_parquet(spark, scored)
-        .join(direct.withColumnRenamed("predicted_score", "direct"), "vec_id")
-        .select("vec_id", (F.col("predicted_score") == F.col("direct")).alias("agrees"))
+        schema=rows.schema,
+        key_cols=["o_orderkey"],
+        label="o_orderpriority",
+        multiline=False,
+        own_csv=True,
     )
+    return files.scan_parquet(spark, scored)
 
 
 # ---------------------------------------------------------------- registry
@@ -496,6 +568,24 @@ def register_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry_sources.read_groups(spark, root)
 
 
+def groups_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, one of them NULL, that two writers appended without seeing each other."""
+    root = fresh_path(spark, "registry")
+    registry_sinks.create_registry(spark, root)
+    name = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment"))
+    groups = _table(spark, sf_dir, "customer").select(
+        name.alias("model_group"), F.lit("").alias("description")
+    )
+    for _ in range(2):
+        file_sinks.write_parquet(
+            registry.one_per_key(groups, ["model_group"]),
+            registry_sources.groups_path(root),
+            mode="append",
+        )
+    registry_sinks.register_groups(spark, root, groups)
+    return registry_sources.read_groups(spark, root)
+
+
 def register_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append one pending package per order and read the registry back."""
     root = fresh_path(spark, "registry")
@@ -534,8 +624,9 @@ def approved_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def version_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dataset versions before 1996 with the packages made from them."""
-    early = _order_models(spark, sf_dir).where("version < '1996'").select("version")
-    made = registry.new_packages(_order_models(spark, sf_dir), MODEL_URL)
+    models = materialize(_order_models(spark, sf_dir), "models")
+    early = models.where("version < '1996'").select("version")
+    made = registry.new_packages(models, MODEL_URL)
     return registry.link_versions(early, made)
 
 
@@ -546,15 +637,25 @@ def deployment_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_and_deploy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, register, approve, name for use."""
+    """Train, register, approve, name for use; what the named model says of each order."""
     root = fresh_path(spark, "project")
-    training = _points(spark, sf_dir).select(*FEATURES, "label")
+    rows = _priorities(spark, sf_dir)
     arn = jobs.train_and_register(
-        spark, training, root, MODEL_URL, "test", label="label", version="2026-01-01"
+        spark,
+        rows.drop("o_orderkey"),
+        root,
+        MODEL_URL,
+        "test",
+        label="o_orderpriority",
+        version="2026-01-01",
     )
     chosen = spark.range(1).select(F.lit(arn).alias("model_package_arn"))
     registry_sinks.approve(spark, f"{root}/registry", chosen)
-    return jobs.deploy_model(spark, root, "flower-model").drop("version")
+    deployed = jobs.deploy_model(spark, root, "flower-model").first()
+    version = deployed["model_package_arn"].rpartition("/")[2]
+    model = version_sources.model_versions(spark, f"{root}/models")[version]()
+    scored = classifier.predict(model, rows, ["o_orderkey"], "o_orderpriority")
+    return scored.withColumn("model_name", F.lit(deployed["model_name"]))
 
 
 def stamp_and_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -567,6 +668,8 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         query_to_partitions,
+        query_to_partitions_limit,
+        partition_edge_values,
         select_all,
         date_parts,
         date_parts_limit,
@@ -589,10 +692,12 @@ QUERIES: dict[str, Query] = {
         ctas_roundtrip,
         csv_roundtrip,
         csv_text_roundtrip,
+        csv_one_column,
         json_roundtrip,
         json_text_roundtrip,
         latest_version,
         all_versions,
+        all_versions_evolved,
         versions_from_paths,
         external_table,
         declared_csv,
@@ -608,6 +713,7 @@ QUERIES: dict[str, Query] = {
         batch_score,
         insert_if_absent,
         register_groups,
+        groups_deduplicated,
         register_packages,
         approve_event,
         registry_pending,

@@ -2,32 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
 
 
-@lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="querymill-")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediate tables that every executor can reach.
 
-    This is the session's ``spark.checkpoint.dir``. Only a local session, where
-    driver and executors share one disk, may go without it.
+    This is the session's ``spark.checkpoint.dir``, else the folder given with
+    ``setCheckpointDir``, else the warehouse, on every master.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    configured = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    return configured.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, prefix: str) -> str:
@@ -40,6 +33,18 @@ def fresh_path(spark: SparkSession, prefix: str) -> str:
     return f"{shared_folder(spark)}/{application}/{prefix}_{uuid.uuid4().hex}"
 
 
+def release_scratch(spark: SparkSession) -> None:
+    """Remove everything this application has put below the shared folder.
+
+    For the end of a job: frames that still read from there can no longer be computed.
+    """
+    application = spark.sparkContext.applicationId
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/{application}"
+    )
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, prefix: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 
@@ -55,12 +60,12 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     """Session settings for a job that reads about ``input_bytes`` on ``cores`` cores.
 
     Scan splits grow from 128 MiB to 1 GiB so that very large inputs do not turn
-    into millions of tasks. Shuffles start with many partitions (about 256 MiB
-    of input each, at most 20,000) and adaptive execution merges the small ones
+    into millions of tasks. Shuffles start with many partitions (one for each 256
+    MiB of input, however many that makes) and adaptive execution merges the small ones
     and splits the hot ones.
     """
     split = min(max(input_bytes // max(cores * 16, 1), 128 * MIB), 1024 * MIB)
-    shuffle = min(max(cores, input_bytes // (256 * MIB)), 20_000)
+    shuffle = max(cores, input_bytes // (256 * MIB))
     smallest = min(max(input_bytes // (cores * 64), MIB // 16), 16 * MIB)
     return {
         "spark.sql.adaptive.enabled": "true",

@@ -7,19 +7,32 @@ from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from querymill.functions.dates import DEFAULT_ZONE
 from querymill.operators.layout import distribute
 from querymill.session import fresh_path
+from querymill.sources.files import with_backslash
 
 # The formats predictions may be asked for.
 OUTPUT_FORMATS = ("parquet", "application/x-parquet")
 
 
+def _partition_texts(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Empty partition texts as a lone backslash, which readers undo: the directory of
+    an empty text would be that of NULL."""
+    marked = with_backslash(df, partition_cols)
+    texts = [f.name for f in df.schema if f.name in partition_cols and f.dataType == StringType()]
+    return marked.withColumns(
+        {n: F.when(F.col(f"`{n}`") == "", "\\").otherwise(F.col(f"`{n}`")) for n in texts}
+    )
+
+
 def _writer(
     df: DataFrame, partition_cols: Sequence[str], max_records_per_file: int | None
 ) -> DataFrameWriter:
-    writer = df.write.format("parquet")
+    writer = _partition_texts(df, partition_cols).write.format("parquet")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     if max_records_per_file is not None:
@@ -74,10 +87,18 @@ def write_partitioned(
 
 
 def unload(
-    df: DataFrame, partition_cols: Sequence[str], *, max_records_per_file: int | None = None
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    *,
+    location: str | None = None,
+    max_records_per_file: int | None = None,
 ) -> str:
-    """Write to a new path under the shared folder and return that path."""
-    path = fresh_path(df.sparkSession, "unload")
+    """Write to ``location``, which must be new, and return it.
+
+    Without one, to a new path under the shared folder, which goes with the
+    application's scratch. Read with ``scan_partitioned``.
+    """
+    path = fresh_path(df.sparkSession, "unload") if location is None else location
     write_partitioned(
         df,
         path,
@@ -93,19 +114,19 @@ def create_table_as(
     name: str,
     partition_cols: Sequence[str],
     max_records_per_file: int | None = None,
-) -> str:
-    """Create a partitioned table from a query result; returns its location.
+    *,
+    location: str | None = None,
+) -> None:
+    """Create a partitioned table from a query result.
 
-    The table must not exist. Its files go to a new path under the shared folder.
+    The table must not exist. Its files go to ``location``, or to the warehouse like
+    those of any other table. Empty partition texts: see ``sources.files``.
     """
-    path = fresh_path(df.sparkSession, "table")
-    (
-        _writer(distribute(df, partition_cols), partition_cols, max_records_per_file)
-        .mode("errorifexists")
-        .option("path", path)
-        .saveAsTable(name)
-    )
-    return path
+    writer = _writer(distribute(df, partition_cols), partition_cols, max_records_per_file)
+    writer = writer.mode("errorifexists")
+    if location is not None:
+        writer = writer.option("path", location)
+    writer.saveAsTable(name)
 
 
 def write_predictions(df: DataFrame, path: str, accept: str = "application/x-parquet") -> None:

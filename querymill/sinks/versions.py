@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from querymill.sources.files import CSV_DIALECT
+from querymill.sources.files import CSV_DIALECT, OWN_CSV, with_backslash
 from querymill.sources.versions import version_path
 
 # Full precision, where Spark's defaults keep milliseconds.
@@ -43,13 +43,12 @@ def write_version(
     A version that exists already is an error.
     """
     version, path = _target(root, version)
-    writer = df.write.mode("errorifexists").format(fmt)
+    rows = with_backslash(df) if fmt == "csv" else df
+    writer = rows.write.mode("errorifexists").format(fmt)
     if fmt in ("csv", "json"):
         writer = writer.options(**TIME_FORMATS)
     if fmt == "csv":
-        if len(df.columns) == 1:
-            raise ValueError("a NULL in a one-column CSV is a blank line, which readers skip")
-        writer = writer.options(**CSV_DIALECT)
+        writer = writer.options(**CSV_DIALECT, **OWN_CSV)
     elif fmt == "json":
         writer = writer.option("ignoreNullFields", False)
     if max_records_per_file is not None:

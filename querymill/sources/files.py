@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 # The formats a scoring input may be declared as.
 INPUT_FORMATS = {
@@ -23,10 +26,10 @@ CSV_DIALECT = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
-# For files of our own. The text stands for an unquoted empty field while a file is
-# parsed, as Spark would otherwise take a quoted empty text for a NULL as well. The
-# line end is stated, as a guessed one swallows NUL characters after line breaks.
-OWN_CSV = {"nullValue": "\0querymill null\0", "lineSep": "\n"}
+# For files of our own: NULL is written as this marker, and a text that begins with a
+# backslash with one more, so no text is taken for it. The line end is stated, as a
+# guessed one swallows NUL characters after line breaks.
+OWN_CSV = {"nullValue": "\\N", "lineSep": "\n"}
 
 
 def reader_for(
@@ -38,8 +41,8 @@ def reader_for(
 ) -> DataFrameReader:
     """Reader for one format; text that does not parse stops the query.
 
-    ``own_csv`` is for CSV files the version sink wrote: a quoted empty field is an
-    empty text there and an unquoted one a NULL. Otherwise both are NULL.
+    ``own_csv`` is for CSV files the version sink wrote; what it reads has to go through
+    ``without_backslash``. In other CSV files an empty field is a NULL, quoted or not.
     """
     reader = spark.read.format(fmt)
     if fmt in ("csv", "json"):
@@ -53,6 +56,41 @@ def reader_for(
     return reader if schema is None else reader.schema(schema)
 
 
+def _text_columns(df: DataFrame, names: Sequence[str] | None) -> list[str]:
+    wanted = df.columns if names is None else names
+    return [f.name for f in df.schema if f.name in wanted and f.dataType == StringType()]
+
+
+def with_backslash(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Texts that begin with a backslash get one more, so that a marker can begin with one."""
+    quoted = {n: F.col(f"`{n}`") for n in _text_columns(df, names)}
+    return df.withColumns(
+        {
+            n: F.when(c.startswith("\\"), F.concat(F.lit("\\"), c)).otherwise(c)
+            for n, c in quoted.items()
+        }
+    )
+
+
+def without_backslash(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Undo ``with_backslash``."""
+    quoted = {n: F.col(f"`{n}`") for n in _text_columns(df, names)}
+    return df.withColumns(
+        {
+            n: F.when(c.startswith("\\"), F.substr(c, F.lit(2))).otherwise(c)
+            for n, c in quoted.items()
+        }
+    )
+
+
+def scan_partitioned(
+    spark: SparkSession, path: str, schema: StructType, partition_cols: Sequence[str]
+) -> DataFrame:
+    """What ``write_partitioned`` wrote, with empty texts apart from NULLs among the
+    partition values. A filter on a partition column still prunes directories."""
+    return without_backslash(scan_parquet(spark, path, schema=schema), partition_cols)
+
+
 def scan_parquet(
     spark: SparkSession, *paths: str, schema: StructType | None = None
 ) -> DataFrame:
@@ -88,11 +126,22 @@ def scan_json(
 
 
 def scan_prefix(
-    spark: SparkSession, prefix: str, fmt: str = "parquet", schema: StructType | None = None
+    spark: SparkSession,
+    prefix: str,
+    fmt: str = "parquet",
+    schema: StructType | None = None,
+    *,
+    multiline: bool = True,
+    own_csv: bool = False,
 ) -> DataFrame:
-    """All files of one format at any depth under ``prefix``."""
-    reader = reader_for(spark, fmt, schema).option("recursiveFileLookup", True)
-    return reader.load(prefix)
+    """All files of one format at any depth under ``prefix``.
+
+    ``multiline=False`` lets large CSV files without quoted line breaks be split.
+    ``own_csv`` is for CSV files that the version sink wrote.
+    """
+    reader = reader_for(spark, fmt, schema, multiline, own_csv)
+    rows = reader.option("recursiveFileLookup", True).load(prefix)
+    return without_backslash(rows) if own_csv and fmt == "csv" else rows
 
 
 def scan_declared(
@@ -100,11 +149,17 @@ def scan_declared(
     prefix: str,
     declared: str = "application/x-parquet",
     schema: StructType | None = None,
+    *,
+    multiline: bool = True,
+    own_csv: bool = False,
 ) -> DataFrame:
     """Everything under ``prefix`` in the declared format, Parquet or CSV.
 
-    Any other format is refused before a file is looked at.
+    Any other format is refused before a file is looked at. ``multiline`` and
+    ``own_csv`` as in ``scan_prefix``.
     """
     if declared not in INPUT_FORMATS:
         raise ValueError(f"expected one of {sorted(INPUT_FORMATS)}, got {declared!r}")
-    return scan_prefix(spark, prefix, INPUT_FORMATS[declared], schema)
+    return scan_prefix(
+        spark, prefix, INPUT_FORMATS[declared], schema, multiline=multiline, own_csv=own_csv
+    )

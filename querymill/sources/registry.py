@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from querymill.operators.registry import GROUPS, PACKAGES
+from querymill.operators.registry import GROUPS, PACKAGES, one_per_key
 from querymill.sources.files import scan_parquet
 
 
@@ -17,7 +17,8 @@ def packages_path(root: str) -> str:
 
 
 def read_groups(spark: SparkSession, root: str) -> DataFrame:
-    return scan_parquet(spark, groups_path(root), schema=GROUPS)
+    """One row per group, although several writers may have appended it."""
+    return one_per_key(scan_parquet(spark, groups_path(root), schema=GROUPS), ["model_group"])
 
 
 def read_packages(spark: SparkSession, root: str) -> DataFrame:

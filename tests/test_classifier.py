@@ -178,3 +178,25 @@ def test_split_rejects_bad_fraction():
 def test_accuracy(spark):
     df = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", None), ("d", "d")], "l string, p string")
     assert accuracy(df, "l", "p").first().accuracy == 0.5
+
+
+def test_boolean_label(spark):
+    rows = [(float(i % 2), 0.0, 0.0, 0.0, i % 2 == 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, label boolean")
+    model = train_classifier(df, "label")
+    got = predict(model, df, ["a"], "label")
+    assert {(r.a, r.predicted_score) for r in got.collect()} == {(0.0, False), (1.0, True)}
+
+
+def test_class_bound_names_the_real_number(spark):
+    df = spark.range(9).select(*[F.lit(0.0).alias(c) for c in "abcd"], F.col("id").alias("label"))
+    with pytest.raises(ValueError, match="has 9 classes, need 2 to 5"):
+        train_classifier(df, "label", max_classes=5)
+
+
+def test_null_split_key_stops(spark):
+    from querymill.operators.evaluation import train_test_split
+
+    df = spark.createDataFrame([(1,), (None,)], "k int")
+    with pytest.raises(Exception, match="missing value"):
+        train_test_split(df, "k")[0].collect()

@@ -61,9 +61,60 @@ def test_any_text_comes_back(spark, fmt, texts):
     assert [r.s for r in got] == texts
 
 
-def test_one_column_csv_is_refused(spark, root):
-    with pytest.raises(ValueError):
-        write_version(spark.range(3), root, "csv")
+MARKERS = [None, "", "\\N", "\\\\N", "\\", "a", " ", "\n", "\0querymill null\0"]
+
+
+def test_one_column_csv_keeps_markers_nulls_and_empty_texts(spark, root):
+    df = spark.createDataFrame([(t,) for t in MARKERS], "s string")
+    write_version(df, root, "csv")
+    got = [r.s for r in load_latest(spark, root, "csv", df.schema).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, MARKERS))
+    numbers = spark.createDataFrame([(1,), (None,)], "n int")
+    write_version(numbers, f"{root}/n", "csv")
+    read = load_latest(spark, f"{root}/n", "csv", numbers.schema).collect()
+    assert {r.n for r in read} == {1, None}
+
+
+EDGES = [None, "", " ", "a/b", "%", "\\", "\\\\", "=", "é"]
+
+
+@pytest.mark.parametrize("table", [None, "edge_table"])
+def test_partition_texts_keep_their_value(spark, root, table):
+    df = spark.createDataFrame(list(enumerate(EDGES)), "i int, k string")
+    df.createOrReplaceTempView("edges")
+    got = query_dataset(spark, "SELECT * FROM edges", ["k"], as_table=table, location=root)
+    assert [r.k for r in got.orderBy("i").collect()] == EDGES
+    assert [r.i for r in got.where("k = ''").collect()] == [1]
+    if table:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_table_without_location_outlives_scratch(spark):
+    from querymill.session import release_scratch
+
+    df = spark.range(5).withColumn("k", F.lit("x"))
+    df.createOrReplaceTempView("five")
+    query_dataset(spark, "SELECT * FROM five", ["k"], as_table="five_by_k")
+    release_scratch(spark)
+    assert spark.table("five_by_k").count() == 5
+    spark.sql("DROP TABLE five_by_k")
+
+
+def test_versions_keep_their_own_columns(spark, root):
+    write_version(spark.createDataFrame([(1, "x")], "id int, extra string"), root, version="1")
+    write_version(spark.createDataFrame([(2,)], "id int"), root, version="2")
+    got = load_versions(spark, root)
+    assert {(r.id, r.extra, r.version) for r in got.collect()} == {(1, "x", "1"), (2, None, "2")}
+    write_version(spark.createDataFrame([("y",)], "id string"), root, version="3")
+    with pytest.raises(ValueError, match="type of id"):
+        load_versions(spark, root)
+
+
+def test_declared_csv_of_our_own(spark, root):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "\\N")], "i int, s string")
+    write_version(df, root, "csv")
+    got = scan_declared(spark, root, "text/csv", df.schema, own_csv=True).orderBy("i")
+    assert [r.s for r in got.collect()] == ["", None, "\\N"]
 
 
 def test_csv_scan_infers_or_checks(spark, tmp_path):
@@ -85,9 +136,12 @@ def test_csv_without_line_breaks_can_be_split(spark, tmp_path):
     before = spark.conf.get(key)
     spark.conf.set(key, "100000")
     try:
-        flat = scan_csv(spark, str(tmp_path), schema="x int, y int", multiline=False)
-        assert flat.count() == 50_000
-        assert flat.select(F.spark_partition_id()).distinct().count() > 1
+        for flat in (
+            scan_csv(spark, str(tmp_path), schema="x int, y int", multiline=False),
+            scan_declared(spark, str(tmp_path), "csv", "x int, y int", multiline=False),
+        ):
+            assert flat.count() == 50_000
+            assert flat.select(F.spark_partition_id()).distinct().count() > 1
     finally:
         spark.conf.set(key, before)
 

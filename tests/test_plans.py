@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from querymill.plans.queries import QUERIES
+from querymill.plans.sql_datasets import SQL_DATASETS
 
 SF_DIR = "/root/testdata/sf0.001"
 # The only operator whose work Spark has no expression for.
@@ -19,6 +20,16 @@ def test_plan(spark, name):
     assert ("Python" in plan or "InPandas" in plan) == (name in IN_PYTHON)
 
 
+@pytest.mark.parametrize("name", sorted(SQL_DATASETS))
+def test_plan_of_the_query_itself(spark, name):
+    dataset = SQL_DATASETS[name]
+    for table in dataset.tables:
+        spark.read.parquet(f"{SF_DIR}/{table}.parquet").createOrReplaceTempView(table)
+    plan = spark.sql(dataset.query)._jdf.queryExecution().executedPlan().toString()
+    for pairwise in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert pairwise not in plan
+
+
 def executed(spark, name: str) -> str:
     df = QUERIES[name](spark, SF_DIR)
     df.collect()

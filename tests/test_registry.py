@@ -97,6 +97,36 @@ def test_latest_approved_takes_the_greatest_version(spark, store):
     assert {(r.model_group, r.version) for r in got.collect()} == {("g", "2026-01-02"), ("h", "2026-01-01")}
 
 
+def test_any_column_types_names_and_null_keys_are_inserted_once(spark, root):
+    rows = [("k", {"x": 1}), ("k", {"x": 1}), (None, {"y": 2}), (None, None)]
+    new = spark.createDataFrame(rows, "`a.b` string, m map<string,int>")
+    got = registry.insert_if_absent(new, new.where("false"), ["a.b"])
+    assert sorted(repr(r[0]) for r in got.collect()) == ["'k'", "None"]
+    assert registry.insert_if_absent(new, got, ["a.b"]).count() == 0
+    sinks.create_registry(spark, root)
+    groups = spark.createDataFrame([(None, "d"), ("g", "d")], registry.GROUPS)
+    for _ in range(2):
+        sinks.register_groups(spark, root, groups)
+    assert read_groups(spark, root).count() == 2
+
+
+def test_groups_of_two_writers_read_once(spark, root):
+    from querymill.sinks.files import write_parquet
+    from querymill.sources.registry import groups_path
+
+    groups = spark.createDataFrame([("g", "b"), ("g", "a")], registry.GROUPS)
+    write_parquet(groups, groups_path(root))
+    write_parquet(groups, groups_path(root), mode="append")
+    assert [tuple(r) for r in read_groups(spark, root).collect()] == [("g", "a")]
+
+
+def test_latest_of_a_dotted_key(spark):
+    from querymill.operators.limits import latest_per_key
+
+    df = spark.createDataFrame([("x", 1), ("x", 2)], "`a.b` string, n int")
+    assert latest_per_key(df, ["a.b"], ["n"]).first().n == 2
+
+
 def test_link_versions(spark, store):
     versions = spark.createDataFrame([("2026-01-01",), ("2026-01-01",), ("2025",)], "version string")
     got = registry.link_versions(versions, read_packages(spark, store))
@@ -143,5 +173,5 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_settings_grow_with_the_input():
     small, large = settings_for(10**9, 8), settings_for(10**14, 8000)
     assert small["spark.sql.shuffle.partitions"] == "8"
-    assert large["spark.sql.shuffle.partitions"] == "20000"
+    assert int(large["spark.sql.shuffle.partitions"]) * 256 * 1024**2 >= 0.99 * 10**14
     assert int(large["spark.sql.files.maxPartitionBytes"]) > int(small["spark.sql.files.maxPartitionBytes"])
