@@ -35,7 +35,7 @@ from querymill.session import materialize
 HASHES = 48
 MISSED = 1e-6  # chance that two documents just similar enough collide too rarely
 STAR_ROUNDS = 2
-FINE_HASHES = 256  # of documents that are compared with many others
+FINE_HASHES = 1024  # of documents that are compared with many others
 BLOCK = 1024  # documents of a key compared with as many others in one task
 
 _U64 = np.uint64
@@ -114,9 +114,9 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
     return (least & ~_U64(63)) | np.arange(HASHES, dtype=_U64)
 
 
-def _fine_signature(shingles: np.ndarray) -> np.ndarray:
-    """16 bits of the least hash under each of the further functions."""
-    return (_least_hashes(shingles, _SEEDS[HASHES:]) >> _U64(20)).astype(np.int16)
+def _fine_signature(shingles: np.ndarray) -> bytes:
+    """A byte of the least hash under each of the further functions."""
+    return (_least_hashes(shingles, _SEEDS[HASHES:]) >> _U64(20)).astype(np.uint8).tobytes()
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
@@ -162,12 +162,12 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                     [
                         ids.slice(at, 256),
                         pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                        pa.array([_fine_signature(s) for s in sets], pa.list_(pa.int16())),
+                        pa.array([_fine_signature(s) for s in sets], pa.binary()),
                     ],
                     names=["doc_id", "shingles", "fine"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>, fine array<short>")
+    return docs.mapInArrow(run, "doc_id long, shingles array<long>, fine binary")
 
 
 def _named(df: DataFrame, end: str) -> DataFrame:
@@ -251,7 +251,7 @@ def _close_pairs(
             n = rows.column("n_shingles").to_numpy()
             ids, component = rows.column("doc_id").to_numpy(), rows.column("component").to_numpy()
             block = rows.column("block").to_numpy()
-            flat = rows.column("fine").combine_chunks().flatten().to_numpy()
+            flat = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint8)
             signature = np.ascontiguousarray(flat.reshape(len(ids), FINE_HASHES).T)
             crossing = rows.column("one")[0].as_py() != rows.column("two")[0].as_py()
             found_a, found_b = [], []

@@ -15,9 +15,10 @@ short ones can be built apart from each other:
   texts by it, stable in the order of the round before, and takes the common prefixes
   of neighbours from those before. Where neighbours have ``LENGTH`` symbols in common,
   the row of bytes that begins there occurs elsewhere.
-* A group of more than ``GROUP`` texts goes to several tasks at random. Rows that found
-  no equal there are tried again, in halves, grouped by the bytes that a half's rows
-  have in common; a group that small is final.
+* Of a group of more than ``GROUP`` texts, equal ones are found first, and one of them
+  is kept. If too many are left, each text's rows are parted by how far before the
+  anchor they begin, in fixed stretches, and the parts grouped anew by the bytes that
+  all rows of the stretch have in common; and so on until groups are small.
 
 Between rounds everything lies in files of the shared folder, read and written in
 sequence.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ from querymill.session import materialize
 LENGTH = 400  # bytes
 ANCHOR = 32
 GROUP = 1024  # texts of a group in one task
+WHOLE = 512  # distances before an anchor, before any parting
+PARTS = 4
 TOGETHER = 8192  # texts whose groups are built side by side
 PIECE = 1 << 23  # bytes of a text hashed at a time
 
@@ -113,20 +117,23 @@ def _anchored(texts: DataFrame, length: int) -> DataFrame:
     )
 
 
-_ITEM = "key binary, ref binary, place long, low int, high int, data binary"
+_ITEM = (
+    "key binary, ref binary, place long, low int, high int, data binary, least int, width int"
+)
 
 
 def _surroundings(chosen: DataFrame, length: int) -> DataFrame:
     """A row for each anchor of each text, with the bytes of the rows that chose it.
 
     ``low`` and ``high``: how far before the anchor the last and the first row begin.
+    ``least`` and ``width``: the stretch of distances that the group is for.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
                 rows = whole.slice(at, 64).to_pylist()
-                out: list[list] = [[], [], [], [], [], []]
+                out: list[list] = [[] for _ in range(8)]
                 for row in rows:
                     for one in row["found"]:
                         values = (
@@ -136,6 +143,8 @@ def _surroundings(chosen: DataFrame, length: int) -> DataFrame:
                             one["place"] - one["last"],
                             one["place"] - one["first"],
                             row["data"][one["first"] : one["last"] + length],
+                            0,
+                            WHOLE,
                         )
                         for column, value in zip(out, values, strict=True):
                             column.append(value)
@@ -146,6 +155,7 @@ def _surroundings(chosen: DataFrame, length: int) -> DataFrame:
 
 def _items(columns: list[list]) -> pa.RecordBatch:
     types = [pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    types += [pa.int32(), pa.int32()]
     names = [part.split()[0] for part in _ITEM.split(", ")]
     arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names=names)
@@ -217,55 +227,40 @@ def _runs(row: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _build(dealt: DataFrame, length: int) -> DataFrame:
-    """Repeated stretches of texts, and what is to be tried again.
-
-    Rows with NULL ``key`` are results: the bytes from ``place`` on, ``low`` of them,
-    occur elsewhere. The others are texts of the next round.
-    """
+    """``ref, start, size``: stretches of bytes that occur elsewhere, group by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, rows in _together(batches):
-            low, high, data = rows["low"], rows["high"], rows["data"]
-            found = repeated_rows(group, low, high, data, length)
-            out: list[list] = [[], [], [], [], [], []]
-
-            def add(*values: object) -> None:
-                for column, value in zip(out, values, strict=True):
-                    column.append(value)
-
-            for k in range(len(data)):
-                ref, place = rows["ref"][k], int(rows["place"][k])
+            found = repeated_rows(group, rows["low"], rows["high"], rows["data"], length)
+            refs, starts, sizes = [], [], []
+            for k in np.flatnonzero(found.any(axis=1)).tolist():
+                place = int(rows["place"][k])
                 for a, b in _runs(found[k]):
-                    add(None, ref, place - b, b - a + length, 0, None)
-                if rows["split"][k]:
-                    rest = ~found[k]
-                    rest[: low[k]] = False
-                    rest[high[k] + 1 :] = False
-                    for a, b in _runs(rest):
-                        middle = (a + b) // 2
-                        for c, d in ((a, middle), (middle + 1, b)):
-                            if c <= d:
-                                piece = data[k][high[k] - d : high[k] - c + length]
-                                core = piece[d - c : length]
-                                key = hashlib.blake2b(core, digest_size=16).digest()
-                                add(key + bytes([(d - c) & 255]), ref, place, c, d, piece)
-            if out[0]:
-                yield _items(out)
+                    refs.append(rows["ref"][k])
+                    starts.append(place - b)
+                    sizes.append(b - a + length)
+            if refs:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(refs, pa.binary()),
+                        pa.array(starts, pa.int64()),
+                        pa.array(sizes, pa.int64()),
+                    ],
+                    names=["ref", "start", "size"],
+                )
 
-    return dealt.mapInArrow(run, _ITEM)
+    return dealt.mapInArrow(run, "ref binary, start long, size long")
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, dict]]:
     """Whole groups of texts that come sorted by group, many at a time."""
     rest: pa.Table | None = None
-    names = ("ref", "data")
 
     def unpacked(rows: pa.Table) -> tuple[np.ndarray, dict]:
-        values = {
-            n: rows.column(n).to_pylist() if n in names else rows.column(n).to_numpy()
-            for n in ("ref", "place", "low", "high", "data", "split")
+        lists = {n: rows.column(n).to_pylist() for n in ("ref", "data")}
+        return _numbers(rows), lists | {
+            n: rows.column(n).to_numpy() for n in ("place", "low", "high")
         }
-        return _numbers(rows), values
 
     for batch in batches:
         for at in range(0, batch.num_rows, TOGETHER):
@@ -286,44 +281,92 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, d
 
 def _numbers(rows: pa.Table) -> np.ndarray:
     """Number of each row's group; rows are sorted by group."""
-    keys, blocks = rows.column("key").to_pylist(), rows.column("block").to_pylist()
-    new = [False] + [
-        keys[k] != keys[k - 1] or blocks[k] != blocks[k - 1] for k in range(1, len(keys))
-    ]
+    keys = rows.column("key").to_pylist()
+    new = [False] + [keys[k] != keys[k - 1] for k in range(1, len(keys))]
     return np.cumsum(np.array(new, int))
 
 
-def _dealt(items: DataFrame) -> DataFrame:
-    """Items sorted by group within partitions, large groups cut at random; single ones
-    are dropped, as they have nothing to be equal with."""
-    sizes = items.groupBy("key").count()
-    large = sizes.where(F.col("count") > GROUP).select("key", F.col("count").alias("n"))
-    single = sizes.where("count = 1").select("key")
-    blocks = F.ceil(F.col("n") / (GROUP // 2)).cast("int")
-    block = F.pmod(F.xxhash64("ref", "place", "low"), blocks).cast("int")
-    return (
-        items.join(large, "key", "left")
-        .join(single, "key", "left_anti")
-        .withColumn("split", F.col("n").isNotNull())
-        .withColumn("block", F.coalesce(block, F.lit(0)))
-        .drop("n")
-        .repartition("key", "block")
-        .sortWithinPartitions("key", "block")
-    )
+def _parted(items: DataFrame, length: int) -> DataFrame:
+    """Each text's rows in parts, each grouped by what all rows of its stretch share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            out: list[list] = [[] for _ in range(8)]
+            for row in whole.to_pylist():
+                low, high, data = row["low"], row["high"], row["data"]
+                width = max(1, row["width"] // PARTS)
+                for least in range(row["least"], row["least"] + row["width"], width):
+                    a, b = max(low, least), min(high, least + width - 1)
+                    if a <= b:
+                        core = data[high - least : high - least + length - width + 1]
+                        key = hashlib.blake2b(core, digest_size=16, key=row["key"][:16])
+                        values = (
+                            key.digest() + least.to_bytes(2, "little"),
+                            row["ref"],
+                            row["place"],
+                            a,
+                            b,
+                            data[high - b : high - a + length],
+                            least,
+                            width,
+                        )
+                        for column, value in zip(out, values, strict=True):
+                            column.append(value)
+            yield _items(out)
+
+    return items.mapInArrow(run, _ITEM)
 
 
 def _stretches(items: DataFrame, length: int) -> DataFrame:
     """``ref, start, size`` of all stretches of bytes that occur elsewhere."""
-    results = None
+    results: list[DataFrame] = []
+    columns = items.columns
     while True:
-        built = materialize(_build(_dealt(items), length), "built")
-        found = built.where("key IS NULL").select(
-            "ref", F.col("place").alias("start"), F.col("low").alias("size")
+        sizes = items.groupBy("key").count()
+        # Of each key's texts: all, unless nothing can be equal or there are too many.
+        large = sizes.where(F.col("count") > GROUP).select("key")
+        single = sizes.where("count = 1").select("key")
+        dealt = (
+            items.join(large, "key", "left_anti")
+            .join(single, "key", "left_anti")
+            .repartition("key")
+            .sortWithinPartitions("key")
+        )
+        results.append(materialize(_build(dealt, length), "built"))
+        crowded = materialize(items.join(large, "key", "left_semi"), "crowded")
+        if crowded.isEmpty():
+            return reduce(DataFrame.unionByName, results)
+        # Equal texts, with equal rows to look for: all those rows occur elsewhere.
+        same = ["key", "low", "high", "digest"]
+        digest = F.sha2("data", 256).alias("digest")
+        one = F.min(F.struct("ref", "place")).alias("one")
+        alike = materialize(
+            crowded.select("key", "low", "high", digest, "ref", "place")
+            .groupBy(*same)
+            .agg(F.count("*").alias("n"), one),
+            "alike",
+        )
+        copies = alike.where("n > 1").select(*same)
+        results.append(
+            crowded.select("key", "low", "high", digest, "ref", "place")
+            .join(copies, same, "left_semi")
+            .select(
+                "ref",
+                (F.col("place") - F.col("high")).alias("start"),
+                (F.col("high") - F.col("low") + length).cast("long").alias("size"),
+            )
+        )
+        firsts = alike.select("key", "low", "high", "one.ref", "one.place")
+        kept = crowded.join(firsts, ["key", "low", "high", "ref", "place"], "left_semi")
+        left = alike.groupBy("key").count()
+        few = left.where(F.col("count") <= GROUP).select("key")
+        many = left.where(F.col("count") > GROUP).select("key")
+        items = materialize(
+            kept.join(few, "key", "left_semi")
+            .select(columns)
+            .unionByName(_parted(kept.join(many, "key", "left_semi").select(columns), length)),
+            "parted",
         )
-        results = found if results is None else results.unionByName(found)
-        items = built.where("key IS NOT NULL")
-        if items.isEmpty():
-            return results
 
 
 def _cut(texts: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from querymill.llm import bpe, embedding_dedup, html_text, minhash, mixing, passages, pii, quality, resampling, toxicity
 from querymill.llm.common import table
+from querymill.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -84,5 +87,3 @@ QUERIES = {
         op10_pii,
     )
 }
-
-ORACLE: dict[str, str] = {}
