@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querymill.llm import bpe, embedding_dedup, html_text, minhash, mixing, passages, pii, quality, resampling, toxicity
+from querymill.llm import (
+    bpe,
+    embedding_dedup,
+    html_text,
+    minhash,
+    mixing,
+    passages,
+    pii,
+    quality,
+    resampling,
+    toxicity,
+)
 from querymill.llm.common import table
 from querymill.llm.oracle import ORACLE
 
