@@ -227,7 +227,7 @@ def _runs(row: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _build(dealt: DataFrame, length: int) -> DataFrame:
-    """``ref, start, size``: stretches of bytes that occur elsewhere, group by group."""
+    """``ref, starts, size``: stretches of bytes that occur elsewhere, group by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, rows in _together(batches):
@@ -237,19 +237,19 @@ def _build(dealt: DataFrame, length: int) -> DataFrame:
                 place = int(rows["place"][k])
                 for a, b in _runs(found[k]):
                     refs.append(rows["ref"][k])
-                    starts.append(place - b)
+                    starts.append([place - b])
                     sizes.append(b - a + length)
             if refs:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(refs, pa.binary()),
-                        pa.array(starts, pa.int64()),
+                        pa.array(starts, pa.list_(pa.int64())),
                         pa.array(sizes, pa.int64()),
                     ],
-                    names=["ref", "start", "size"],
+                    names=["ref", "starts", "size"],
                 )
 
-    return dealt.mapInArrow(run, "ref binary, start long, size long")
+    return dealt.mapInArrow(run, "ref binary, starts array<long>, size long")
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, dict]]:
@@ -318,7 +318,10 @@ def _parted(items: DataFrame, length: int) -> DataFrame:
 
 
 def _stretches(items: DataFrame, length: int) -> DataFrame:
-    """``ref, start, size`` of all stretches of bytes that occur elsewhere."""
+    """``ref, starts, size`` of all stretches of bytes that occur elsewhere.
+
+    One row may stand for several places of a text: a line that it repeats has many.
+    """
     results: list[DataFrame] = []
     columns = items.columns
     while True:
@@ -349,10 +352,12 @@ def _stretches(items: DataFrame, length: int) -> DataFrame:
         copies = alike.where("n > 1").select(*same)
         results.append(
             crowded.select("key", "low", "high", digest, "ref", "place")
+            .groupBy("ref", *same)
+            .agg(F.collect_list(F.col("place") - F.col("high")).alias("starts"))
             .join(copies, same, "left_semi")
             .select(
                 "ref",
-                (F.col("place") - F.col("high")).alias("start"),
+                "starts",
                 (F.col("high") - F.col("low") + length).cast("long").alias("size"),
             )
         )
@@ -380,7 +385,8 @@ def _cut(texts: DataFrame) -> DataFrame:
             ):
                 kept, free, count, gone = hashlib.sha256(), 0, 0, 0
                 end = -1
-                for one in sorted((s["start"], s["start"] + s["size"]) for s in found):
+                spread = {(at, at + s["size"]) for s in found for at in s["starts"]}
+                for one in sorted(spread):
                     if one[0] > end:
                         count += 1
                         kept.update(data[free : one[0]])
@@ -465,7 +471,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     stretches = _stretches(_surroundings(held.select("ref", "data", "found"), length), length)
     per_text = stretches.groupBy("ref").agg(
-        F.collect_set(F.struct("start", "size")).alias("stretches")
+        F.collect_list(F.struct("starts", "size")).alias("stretches")
     )
     cut = _cut(
         held.where("n_copies = 1")
@@ -475,7 +481,9 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .select("ref", "data", "stretches")
     )
     by_text = materialize(
-        classes.join(cut, "ref", "left").select("sha", "n_copies", "n_removed", "n_spans", "kept_sha256"),
+        classes.join(cut, "ref", "left").select(
+            "sha", "n_copies", "n_removed", "n_spans", "kept_sha256"
+        ),
         "cut",
     )
     copied = F.col("n_copies") > 1
