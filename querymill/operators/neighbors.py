@@ -29,6 +29,9 @@ SAMPLE_CELLS = 8 * SAMPLE_ROWS
 # Distances held in memory at once inside a task.
 BLOCK_CELLS = 2_000_000
 
+# Features from which a matrix product first tells which distances are worth summing.
+PRODUCT_FEATURES = 16
+
 
 def nearest_neighbor(
     test: DataFrame,
@@ -43,7 +46,8 @@ def nearest_neighbor(
 
     Euclidean distance in double precision; of equally near rows the one with
     the smallest key counts. ``key`` identifies a row. Made for few dimensions: with
-    dozens of unrelated ones boxes rule out little. Returns ``key``,
+    dozens of unrelated ones boxes rule out little, and nearly all pairs are compared,
+    most of them by a matrix product alone. Returns ``key``,
     ``nearest_key``, ``predicted`` and ``distance`` for every test row.
     """
     dims = [f"_f{i}" for i in range(len(features))]
@@ -284,6 +288,41 @@ class _LeafSearch:
         return lambda df: df.where(F.col("_leaf").isin(wanted)).join(F.broadcast(chunks), "_leaf")
 
 
+def _by_sums(rows: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each row's nearest target, the first of equals, and its squared distance."""
+    total = np.zeros((len(rows), len(targets)))
+    for d in range(targets.shape[1]):
+        gap = rows[:, d, None] - targets[:, d]
+        total += gap * gap
+    first = total.argmin(axis=1)
+    return first, total[np.arange(len(rows)), first]
+
+
+def _by_product(rows: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same result: distances are summed where a matrix product leaves room.
+
+    ``slack`` is more than the rounding of the product and of a sum together, for two
+    targets. What cannot be told, as where a square overflows, is summed.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        own, others = (rows * rows).sum(axis=1), (targets * targets).sum(axis=1)
+        about = rows @ targets.T
+        about *= -2.0
+        about += own[:, None]
+        about += others
+        rounding = 16 * (rows.shape[1] + 8) * np.finfo(np.float64).eps
+        slack = rounding * (own + others.max()) + 1e-300
+        i, j = np.nonzero(~(about > (about.min(axis=1) + slack)[:, None]))
+        total = np.zeros(len(i))
+        for d in range(targets.shape[1]):
+            gap = rows[i, d] - targets[j, d]
+            total += gap * gap
+    square = np.minimum.reduceat(total, np.searchsorted(i, np.arange(len(rows))))
+    hits = np.flatnonzero(total == square[i])
+    _, first = np.unique(i[hits], return_index=True)
+    return j[hits[first]], square
+
+
 def _nearest_in_group(dims: list[str]):
     def nearest(points: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = rows[["_key", *dims]]
@@ -298,13 +337,9 @@ def _nearest_in_group(dims: list[str]):
         step = max(1, BLOCK_CELLS // len(targets))
         for start in range(0, len(asked), step):
             block = asked[start : start + step]
-            total = np.zeros((len(block), len(targets)))
-            for d in range(targets.shape[1]):
-                gap = block[:, d, None] - targets[:, d]
-                total += gap * gap
-            first = total.argmin(axis=1)
-            place[start : start + step] = first
-            square[start : start + step] = total[np.arange(len(block)), first]
+            nearest_of = _by_sums if len(dims) < PRODUCT_FEATURES else _by_product
+            found = nearest_of(block, targets)
+            place[start : start + step], square[start : start + step] = found
         near = points.iloc[place].reset_index(drop=True)
         out = out.reset_index(drop=True)
         return out.assign(_square=square, _near=near["_near"], _label=near["_label"])

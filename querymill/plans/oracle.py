@@ -35,6 +35,19 @@ _NEIGHBORS = (
     + " SELECT vec_id, nearest_id, predicted, sqrt(square) AS distance FROM nearest WHERE place = 1"
 )
 
+_NEAREST_WHOLE = f"""
+    WITH points AS (
+        SELECT vec_id, label, {", ".join(f"cast(embedding[{i + 1}] AS double) AS x{i}" for i in range(64))},
+               {_SPLIT.format(key="cast(vec_id AS varchar)")} AS is_train
+        FROM embeddings),
+    ranked AS (
+        SELECT e.vec_id, e.label, t.vec_id AS nearest_id, t.label AS predicted,
+               {" + ".join(f"(e.x{i} - t.x{i}) * (e.x{i} - t.x{i})" for i in range(64))} AS square
+        FROM points e JOIN points t ON NOT e.is_train AND t.is_train),
+    nearest AS (
+        SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY square, nearest_id) AS place
+        FROM ranked)"""
+
 _MODELS = """
     models AS (
         SELECT c_mktsegment AS model_group,
@@ -134,6 +147,11 @@ ORACLE: dict[str, str] = {
     "hash_split": f"SELECT doc_id, {_SPLIT.format(key='doc_id')} AS is_train FROM documents",
     "nearest_neighbor": _NEIGHBORS,
     "nearest_neighbor_leaves": _NEIGHBORS,
+    "nearest_neighbor_whole": _NEAREST_WHOLE
+    + " SELECT vec_id, nearest_id, predicted, sqrt(square) AS distance FROM nearest WHERE place = 1",
+    "accuracy_whole": _NEAREST_WHOLE
+    + """ SELECT avg(CASE WHEN label = predicted THEN 1.0 ELSE 0.0 END) AS accuracy
+          FROM nearest WHERE place = 1""",
     "accuracy": _NEAREST
     + """ SELECT avg(CASE WHEN label = predicted THEN 1.0 ELSE 0.0 END) AS accuracy
           FROM nearest WHERE place = 1""",

@@ -35,6 +35,7 @@ from querymill.sources.query import query_dataset
 Query = Callable[[SparkSession, str], DataFrame]
 
 FEATURES = ["x0", "x1", "x2", "x3"]
+ALL_FEATURES = [f"x{i}" for i in range(64)]  # of an embedding
 MODEL_URL = "s3://models/store"
 
 ORDERS_BY_MONTH = """
@@ -63,6 +64,19 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _whole_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All dimensions of the embeddings, with key and label.
+
+    In an embedding of another length they are NULL, which the search refuses.
+    """
+    whole = F.when(F.size("embedding") == len(ALL_FEATURES), F.col("embedding"))
+    return _table(spark, sf_dir, "embeddings").select(
+        *[whole[i].cast("double").alias(x) for i, x in enumerate(ALL_FEATURES)],
+        "label",
+        "vec_id",
+    )
+
+
 def _order_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders seen as model versions: grouped by market segment, named by day and key."""
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
@@ -449,10 +463,23 @@ def nearest_neighbor_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _neighbors(spark, sf_dir, leaf_rows=128, chunk_rows=100)
 
 
+def nearest_neighbor_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours of whole embeddings, stored once for whoever reads them."""
+    train, test = evaluation.train_test_split(_whole_points(spark, sf_dir), "vec_id")
+    found = neighbors.nearest_neighbor(test, train, "vec_id", "label", ALL_FEATURES)
+    return materialize(found.withColumnRenamed("nearest_key", "nearest_id"), "neighbors")
+
+
 def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.neighbor_accuracy(_points(spark, sf_dir), "vec_id", "label", FEATURES)
 
 
+def accuracy_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the neighbours of whole embeddings."""
+    points = _whole_points(spark, sf_dir)
+    return materialize(jobs.neighbor_accuracy(points, "vec_id", "label", ALL_FEATURES), "accuracy")
+
+
 def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Class probabilities and weights of the trained classifier, one row per class."""
     points = _points(spark, sf_dir)
@@ -706,7 +733,9 @@ QUERIES: dict[str, Query] = {
         hash_split,
         nearest_neighbor,
         nearest_neighbor_leaves,
+        nearest_neighbor_whole,
         accuracy,
+        accuracy_whole,
         fitted_class_totals,
         fitted_feature_sums,
         train_and_score,

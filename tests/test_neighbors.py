@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from querymill.operators import neighbors
+from querymill.operators.evaluation import in_train
 from querymill.operators.neighbors import nearest_neighbor
 from querymill.plans.jobs import neighbor_accuracy
+from querymill.plans.queries import QUERIES
 
 
 def brute_force(test, train, features):
@@ -104,3 +106,36 @@ def test_empty_test_part(spark):
 def test_accuracy_of_separated_classes(spark):
     df = spark.range(400).select("id", (F.col("id") % 2).alias("l"), ((F.col("id") % 2) * 10 + F.rand(3)).alias("v"))
     assert neighbor_accuracy(df, "id", "l", ["v"]).first().accuracy == 1.0
+
+
+@pytest.mark.parametrize("draw", sorted(DRAWS))
+@pytest.mark.parametrize("options", [{}, {"leaf_rows": 64, "chunk_rows": 50}])
+def test_many_features_equal_brute_force(spark, draw, options):
+    rng = np.random.default_rng(8)
+    train = table(rng, 300, 20, 0, DRAWS[draw])
+    test = table(rng, 80, 20, 1000, DRAWS[draw])
+    check(spark, test, train, [f"x{d}" for d in range(20)], **options)
+
+
+@pytest.mark.parametrize("scale", [1e-170, 1.0, 1e12, 1e160])
+def test_product_changes_nothing(scale):
+    rng = np.random.default_rng(9)
+    targets = rng.integers(-2, 3, size=(200, 20)) * scale
+    rows = np.concatenate([targets[:30], targets[:30] + scale * 1e-9, rng.normal(size=(30, 20)) * scale])
+    with np.errstate(over="ignore"):
+        want = neighbors._by_sums(rows, targets)
+    got = neighbors._by_product(rows, targets)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+
+
+def test_whole_embeddings_are_compared(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id")
+    rows = rows.select("vec_id", "embedding", in_train("vec_id").alias("train")).toPandas()
+    x = np.stack(rows["embedding"].to_list()).astype(float)
+    train = rows["train"].to_numpy()
+    square = ((x[~train, None] - x[None, train]) ** 2).sum(axis=2)
+    ids = rows["vec_id"].to_numpy()
+    want = dict(zip(ids[~train].tolist(), ids[train][square.argmin(axis=1)].tolist(), strict=True))
+    got = QUERIES["nearest_neighbor_whole"](spark, sf_dir).collect()
+    assert {r.vec_id: r.nearest_id for r in got} == want
