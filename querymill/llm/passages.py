@@ -84,7 +84,7 @@ def _anchors_of_piece(data: bytes, length: int) -> tuple[np.ndarray, ...]:
 def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """Anchors of a whole text; none if it is shorter than ``length``."""
     found = []
-    step = PIECE - length
+    step = PIECE - length + 1  # each row of bytes lies in one piece
     for at in range(0, max(1, len(data) - length + 1), step):
         piece = data[at : at + PIECE]
         if len(piece) >= length:

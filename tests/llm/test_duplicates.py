@@ -141,3 +141,26 @@ def test_passages(spark, monkeypatch, group):
     got = {r.doc_id: tuple(r)[1:] for r in passages.repeated_passages(docs).collect()}
     assert got == dict(enumerate(removed(texts, 400)))
     assert passages.repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_passages_in_pieces(spark, monkeypatch):
+    """The row of bytes at the end of a piece is read once, also where its anchor occurs elsewhere."""
+    draw = random.Random(7)
+    text = "".join(draw.choice("abcdefgh") for _ in range(6000))
+    one_piece = [a.tolist() for a in passages.anchors(text.encode())]
+    monkeypatch.setattr(passages, "PIECE", 1000)
+    hashes, places, first, last = passages.anchors(text.encode())
+    rows = [r for a, b in zip(first.tolist(), last.tolist(), strict=True) for r in range(a, b + 1)]
+    assert rows == list(range(6000 - 400 + 1))
+    whole = zip(*one_piece[1:], strict=True)
+    chosen = {r: p for p, a, b in whole for r in range(a, b + 1)}
+    for p, a, b in zip(places.tolist(), first.tolist(), last.tolist(), strict=True):
+        assert all(chosen[r] == p for r in range(a, b + 1))
+    # Each anchor of the long text occurs in a short one, with other bytes about it.
+    texts = [text] + [
+        "".join(draw.choice("xyz") for _ in range(400)) + text[p : p + passages.ANCHOR] + "z" * 9 + str(k)
+        for k, p in enumerate(sorted(set(places.tolist())))
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in passages.repeated_passages(docs).collect()}
+    assert got == dict(enumerate(removed(texts, 400)))
