@@ -7,8 +7,8 @@ pairs that do are compared in full.
 
 A single sorted projection has a fixed share of all vectors within each window, so
 windows are not read from one sorted list each: ``TABLES`` times, ``CELL_PROJECTIONS``
-further projections cut space into cells, and pairs are counted within cells. The
-number of tables is set for the recall. A cell's vectors are sorted by projection; a
+further projections cut space into cells, and pairs are counted within cells, every
+pair in all projections. The number of tables is set for the recall. A
 crowded cell is cut into blocks and its pairs of blocks go to different tasks.
 """
 
@@ -128,10 +128,7 @@ def _compare(grouped: DataFrame, cosine: float) -> DataFrame:
             size = vectors.shape[1]
             if size not in known:
                 known[size] = _directions(size, SEED + 2, PROJECTIONS)
-            places = vectors @ known[size]
-            order = np.argsort(places[:, 0], kind="stable")
-            i, j = _collisions(places[order], window)
-            i, j = order[i], order[j]
+            i, j = _collisions(vectors @ known[size], window)
             keep = ids[i] != ids[j]
             if sides is not None:
                 keep &= sides[i] != sides[j]
@@ -179,21 +176,16 @@ def _unpacked(rows: pa.Table) -> tuple:
 
 
 def _collisions(places: np.ndarray, window: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that collide often enough, of vectors sorted by their first projection.
-
-    Each vector's window there ends at a place in the order; the other projections are
-    counted for the vectors up to it only.
-    """
+    """Pairs that collide often enough: all projections count for every pair."""
     first, second = [], []
-    ends = np.searchsorted(places[:, 0], places[:, 0] + window, side="right")
-    step = max(1, 4_000_000 // (len(places) * 8))
+    # A column for each projection, so that one is read in a row.
+    columns = np.ascontiguousarray(places.T)
+    step = max(1, 500_000 // len(places))
     for at in range(0, len(places), step):
-        rows = places[at : at + step]
-        to = int(ends[at : at + step].max())
-        others = places[at:to]
-        counts = np.zeros((len(rows), len(others)), np.int8)
-        for m in range(places.shape[1]):
-            counts += np.abs(rows[:, m, None] - others[None, :, m]) <= window
+        rows, others = columns[:, at : at + step], columns[:, at:]
+        counts = np.zeros((rows.shape[1], others.shape[1]), np.int8)
+        for mine, other in zip(rows, others, strict=True):
+            counts += np.abs(mine[:, None] - other) <= window
         i, j = np.nonzero(counts >= COLLISIONS)
         ahead = j > i
         first.append(i[ahead] + at)

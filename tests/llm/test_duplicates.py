@@ -164,3 +164,25 @@ def test_passages_in_pieces(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: tuple(r)[1:] for r in passages.repeated_passages(docs).collect()}
     assert got == dict(enumerate(removed(texts, 400)))
+
+
+def test_collisions_count_every_projection():
+    """A group of 2048 with pairs at 0.9: none is left out for being apart in one projection."""
+    draw = np.random.default_rng(12)
+    base = draw.normal(size=(1024, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    aside = draw.normal(size=base.shape)
+    aside -= (aside * base).sum(axis=1, keepdims=True) * base
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    x = np.concatenate([base, 0.9 * base + np.sqrt(1 - 0.81) * aside])
+    places = x @ embedding_dedup._directions(64, embedding_dedup.SEED + 2, embedding_dedup.PROJECTIONS)
+    window = embedding_dedup.DEVIATIONS * np.sqrt(2 - 2 * 0.9)
+    places = places[np.argsort(places[:, 0], kind="stable")]
+    i, j = embedding_dedup._collisions(places, window)
+    got = set(zip(np.minimum(i, j).tolist(), np.maximum(i, j).tolist(), strict=True))
+    assert len(got) == len(i)
+    want = set()
+    for a in range(len(places) - 1):
+        hits = (np.abs(places[a + 1 :] - places[a]) <= window).sum(axis=1) >= embedding_dedup.COLLISIONS
+        want.update((a, a + 1 + int(b)) for b in np.flatnonzero(hits))
+    assert got == want
