@@ -6,7 +6,7 @@ collide in at least ``COLLISIONS`` of ``PROJECTIONS`` but for a small chance, an
 pairs that do are compared in full.
 
 A single sorted projection has a fixed share of all vectors within each window, so
-windows are not read from one sorted list each: ``TABLES`` times, ``CELL_PROJECTIONS``
+windows are not read from one sorted list each: ``tables_for`` the cosine times, ``CELL_PROJECTIONS``
 further projections cut space into cells, and pairs are counted within cells, every
 pair in all projections. The number of tables is set for the recall. A
 crowded cell is cut into blocks and its pairs of blocks go to different tasks.
@@ -14,6 +14,7 @@ crowded cell is cut into blocks and its pairs of blocks go to different tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,8 @@ from querymill.llm.components import components
 from querymill.session import materialize
 
 COSINE = 0.9
-TABLES = 24
+RECALL = 0.94  # chance that a pair at the wanted cosine shares a cell
+TABLES = 24  # at least; enough for a cosine of 0.9
 CELL_PROJECTIONS = 8
 CELL_WIDTH = 1.5
 # Vectors at the wanted cosine lie within two standard deviations with a chance of
@@ -45,17 +47,28 @@ def _directions(size: int, seed: int, count: int) -> np.ndarray:
     ).reshape(size, count)
 
 
+def tables_for(cosine: float) -> int:
+    """Tables in which a pair at ``cosine`` shares a cell with a chance of ``RECALL``."""
+    apart = math.sqrt(max(0.0, 2 - 2 * cosine))  # deviation of what parts the pair in a projection
+    if not apart:
+        return TABLES
+    width = CELL_WIDTH / apart
+    one = math.erf(width / math.sqrt(2))
+    one -= math.sqrt(2 / math.pi) * (1 - math.exp(-width * width / 2)) / width
+    return max(TABLES, math.ceil(math.log(1 - RECALL) / math.log1p(-(one**CELL_PROJECTIONS))))
+
+
 def _unit(rows: list[list[float]]) -> np.ndarray:
     x = np.array(rows, np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _cells(vectors: DataFrame) -> DataFrame:
+def _cells(vectors: DataFrame, tables: int) -> DataFrame:
     """``first_id, copies, embedding, cells``: the vector's cell in each table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = TABLES * CELL_PROJECTIONS
+        count = tables * CELL_PROJECTIONS
         mix = np.random.default_rng(SEED + 1).integers(1, 2**62, count) * 2 + 1
         known: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -68,7 +81,7 @@ def _cells(vectors: DataFrame) -> DataFrame:
                 places = _unit([rows[i] for i in mine]) @ known[size]
                 offsets = np.linspace(0, CELL_WIDTH, count, endpoint=False)
                 steps = np.floor((places + offsets) / CELL_WIDTH).astype(np.int64)
-                hashed = (steps * mix).reshape(len(mine), TABLES, CELL_PROJECTIONS).sum(axis=2)
+                hashed = (steps * mix).reshape(len(mine), tables, CELL_PROJECTIONS).sum(axis=2)
                 hashed ^= hashed >> 31
                 hashed += size
                 for i, row in zip(mine, hashed, strict=True):
@@ -224,7 +237,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     that is NULL, empty or zero, or holds a NULL or non-finite number, is linked with
     nothing, and so is any with a NULL vec_id, whose component is NULL. Vectors of
     different lengths are never linked. Rows with one vec_id are one node as regards
-    components. No link has a smaller cosine; some pairs just above it may be missed.
+    components. No link has a smaller cosine; some pairs just above it may be missed,
+    about six in a hundred at the cosine itself; a smaller one takes more tables.
     """
     x = F.col("embedding").cast("array<double>")
     rows = materialize(
@@ -244,7 +258,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         .groupBy("embedding")
         .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
     )
-    cells = materialize(_cells(classes.select("first_id", "copies", "embedding")), "cells")
+    placed = _cells(classes.select("first_id", "copies", "embedding"), tables_for(cosine))
+    cells = materialize(placed, "cells")
     grouped = _grouped(cells).join(cells, "first_id").select(
         *_KEY, "block", "first_id", "copies", "embedding", "cells"
     )

@@ -186,3 +186,18 @@ def test_collisions_count_every_projection():
         hits = (np.abs(places[a + 1 :] - places[a]) <= window).sum(axis=1) >= embedding_dedup.COLLISIONS
         want.update((a, a + 1 + int(b)) for b in np.flatnonzero(hits))
     assert got == want
+
+
+def test_lower_cosines_take_more_tables(spark):
+    assert embedding_dedup.tables_for(0.9) == embedding_dedup.tables_for(1.0) == 24
+    draw = np.random.default_rng(13)
+    base = draw.normal(size=(200, 32))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    aside = draw.normal(size=base.shape)
+    aside -= (aside * base).sum(axis=1, keepdims=True) * base
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    x = np.concatenate([base, 0.81 * base + np.sqrt(1 - 0.81**2) * aside])
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(vectors, 0.8).collect()}
+    assert sum(got[i].component_id == got[200 + i].component_id for i in range(200)) >= 180
