@@ -30,7 +30,7 @@ BATCH = 64
 
 WINDOW = 96  # characters decoded together
 STRIDE = 48
-MARGIN = 24  # about each character that a span must hold
+MARGIN = 24  # at least, about each character that a span must hold
 HIDDEN = 12
 WINDOWS_AT_ONCE = 2048
 BATCH_TEXTS = 512
@@ -346,15 +346,23 @@ def fit(texts: list[str], seed: int = 11) -> Tagger | None:
 
 
 def _regions(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches about digits and @; a span without either is never accepted."""
+    """Stretches about digits and @, to the ends of the words that they would cut.
+
+    A span without either is never accepted, so nothing else needs to be decoded.
+    """
     start = end = -1
     for m in _TRIGGER.finditer(text):
         low, high = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
+        while low > max(end, 0) and not (text[low - 1].isspace() or text[low].isspace()):
+            low -= 1
         if low > end:
             if end >= 0:
                 yield start, end
             start = low
-        end = high
+        if high > end:
+            while high < len(text) and not (text[high - 1].isspace() or text[high].isspace()):
+                high += 1
+            end = high
     if end >= 0:
         yield start, end
 

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,21 @@ def test_tagger_adds_other_spellings_and_leaves_the_rest(spark):
     assert pii.train(some.where("doc_id = 4")) is None
     assert pii.find(some, None, ["doc_id"]).count() == 5
     assert pii.find(some.limit(0), tagger, ["doc_id"]).count() == 0
+
+
+class _MarksAll:
+    """Takes all it is shown for one address."""
+
+    def decode(self, codes):
+        return np.where(np.asarray(codes) == pii._PAD, 0, 2)
+
+
+@pytest.mark.parametrize("local", [10, 40, 130])
+@pytest.mark.parametrize("domain", [10, 30, 60])
+def test_long_addresses_are_seen_whole(local, domain):
+    text = f"{'a' * local} @ {'b' * domain}.example.org"
+    assert pii.added_spans([text], [[]], _MarksAll()) == [[(0, 0, len(text))]]
+    lines = f"no more\n{'c' * 30}\n" + "1" * 5000 + f" {text}"
+    regions = list(pii._regions(lines))
+    assert all(a < b for a, b in regions) and all(x[1] < y[0] for x, y in zip(regions, regions[1:]))
+    assert regions[-1][1] == len(lines)
