@@ -20,7 +20,6 @@ from querymill.llm.common import WORDS
 from querymill.session import materialize
 
 BUCKETS = 1 << 14
-TARGET_DOCUMENTS = 20_000  # labelled good, drawn by hash of doc_id
 SMOOTHING = 1.0
 KNOWN_WORDS = 500_000
 BINS = 4096
@@ -45,19 +44,21 @@ class _Hasher:
         return (both % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def _counts(docs: DataFrame, target_ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """n-grams by bucket in all documents and in the target ones; each task adds up its own."""
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(target_ids))
+def _counts(docs: DataFrame, good: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """n-grams by bucket in all documents and in the target ones; each task adds up its own.
+
+    ``good(doc_id)``: the target's ids, each once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _Hasher()
         totals = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
-            for i, text in zip(ids, texts, strict=True):
+            texts, targets = (c.to_pylist() for c in batch.columns)
+            for text, is_target in zip(texts, targets, strict=True):
                 found = np.bincount(hasher.ngrams(text or ""), minlength=BUCKETS)
                 totals[0] += found
-                if i in shared.value:
+                if is_target:
                     totals[1] += found
         seen = np.flatnonzero(totals[0])
         yield pa.RecordBatch.from_arrays(
@@ -67,6 +68,8 @@ def _counts(docs: DataFrame, target_ids: list[int]) -> tuple[np.ndarray, np.ndar
 
     rows = (
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        .join(good.withColumn("is_target", F.lit(True)), "doc_id", "left")
+        .select("text", "is_target")
         .mapInArrow(run, "bucket long, n_raw long, n_target long")
         .groupBy("bucket")
         .agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target"))
@@ -113,16 +116,14 @@ def threshold(keys: DataFrame, k: int) -> float | None:
 def resample(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     """``log_weight``, ``key`` and ``kept`` of every document of ``docs(doc_id, text)``.
 
-    ``labels(doc_id, quality)``: the target is a sample of at most ``TARGET_DOCUMENTS``
-    documents of quality 1. As large a share of all documents is kept as is good among
+    ``labels(doc_id, quality)``: the target is all documents of quality 1. As large a share of all documents is kept as is good among
     the labelled ones (all, without labels): those with the largest keys. Whole texts
     count, in the model of all documents as in the weights. A NULL, empty or blank text
     has no n-grams and weight 0. Rows with equal doc_id draw the same noise; keys equal
     to the last one kept are kept, too.
     """
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_DOCUMENTS).collect()
-    raw, target = _counts(docs, [r["doc_id"] for r in rows])
+    ids = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
+    raw, target = _counts(docs, ids.where("doc_id IS NOT NULL").distinct())
     p_raw = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS)
     p_target = (target + SMOOTHING * p_raw * BUCKETS) / (target.sum() + SMOOTHING * BUCKETS)
     shared = docs.sparkSession.sparkContext.broadcast(np.log(p_target / p_raw))

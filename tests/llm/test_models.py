@@ -171,3 +171,13 @@ def test_long_addresses_are_seen_whole(local, domain):
     regions = list(pii._regions(lines))
     assert all(a < b for a, b in regions) and all(x[1] < y[0] for x, y in zip(regions, regions[1:]))
     assert regions[-1][1] == len(lines)
+
+
+def test_every_good_document_is_in_the_target(spark, monkeypatch):
+    monkeypatch.setattr(resampling, "TARGET_DOCUMENTS", 3, raising=False)
+    docs = spark.createDataFrame([(i, f"word{i} word{i}") for i in range(40)], "doc_id long, text string")
+    labels = [(i, 1) for i in range(20)] + [(5, 1), (99, 1), (None, 1)] + [(i, 0) for i in range(20, 30)]
+    got = resampling.resample(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert len(got) == 40
+    weight = {r.doc_id: r.log_weight for r in got}
+    assert min(weight[i] for i in range(20)) > 0 > max(weight[i] for i in range(20, 40))
