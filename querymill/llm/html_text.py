@@ -30,7 +30,7 @@ MARKS = ("article", "main")
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|textarea|select|math)\b.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|template|svg|iframe|textarea|select)\b.*?(?:</\1\s*>|\Z)"
     r"|<[a-zA-Z/!?](?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"
     r"|<[a-zA-Z/!?][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -42,6 +42,14 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt"
     " ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
+# Within a formula: what stands in a row, and what stands in cells of its own.
+_MATH_ROW = frozenset(
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom"
+    " mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover"
+    " none semantics".split()
+)
+_MATH = _MATH_ROW | frozenset("annotation annotation-xml mtable mtd mtr".split())
+_INLINE |= _MATH_ROW
 # Parts of an article that are none of its text.
 _ASIDE = frozenset("nav aside footer form button dialog menu head title".split())
 _ASIDE_CLASS = re.compile(
@@ -50,6 +58,16 @@ _ASIDE_CLASS = re.compile(
     r"|sidebar|social|sponsor\w*|subscribe|widget)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+# Elements that may lack an end tag: what begins after them, and what shields it.
+_BLOCKS = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption"
+    " figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search"
+    " section table ul".split()
+)
+_ENDED_BY = {
+    "p": (_BLOCKS | frozenset({"li", "dt", "dd", "tr", "td", "th"}), frozenset()),
+    "li": (frozenset({"li"}), frozenset({"ul", "ol", "menu"})),
+}
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
@@ -112,15 +130,31 @@ class Page:
     def text(self, first: int, last: int) -> str:
         """Text of a stretch, without elements that are no text of an article."""
         out, closing, depth = [], "", 0
+        inside: list[str] = []  # elements open within an aside that may lack its end tag
+        about: Counter[str] = Counter()  # elements open outside of asides
+        for name, _ in self.tags[:first]:
+            _count_open(about, name)
         for k in range(first, last + 1):
             if k > first:
                 name, kind = self.tags[k - 1]
                 plain = name.lstrip("/")
-                if closing:
+                if closing in _ENDED_BY and _ended(closing, name, inside, about):
+                    closing, inside = "", []
+                if not closing:
+                    _count_open(about, name)
+                if closing in _ENDED_BY:
+                    if name != plain and plain in inside:
+                        while inside.pop() != plain:
+                            pass
+                    elif name == plain and name not in _VOID:
+                        inside.append(name)
+                        del inside[: len(inside) - DEPTH]
+                elif closing:
                     if plain == closing:
                         depth += -1 if name.startswith("/") else 1
                         if not depth:
                             closing = ""
+                            _count_open(about, name)
                 elif name == plain and name not in _VOID:
                     if _aside(name, kind):
                         closing, depth = name, 1
@@ -131,6 +165,22 @@ class Page:
         return " ".join("".join(out).split())
 
 
+def _count_open(counts: Counter[str], name: str) -> None:
+    if name.startswith("/"):
+        counts[name[1:]] = max(0, counts[name[1:]] - 1)
+    elif name not in _VOID:
+        counts[name] += 1
+
+
+def _ended(closing: str, name: str, inside: list[str], about: Counter[str]) -> bool:
+    """Whether a tag ends an aside: its own end tag, its parent's, or what begins after it."""
+    plain = name.lstrip("/")
+    if name != plain:
+        return plain not in inside and (plain == closing or about[plain] > 0)
+    ends, shields = _ENDED_BY[closing]
+    return name in ends and not shields.intersection(inside)
+
+
 def best_stretch(words: list[float], tags: list[float]) -> tuple[int, int] | None:
     """First and last piece of the stretch with the greatest sum; the first of equals.
 
@@ -163,6 +213,8 @@ class Scores:
             known = self.by_key.get(name)
             if known is None:
                 known = -0.2 if name.lstrip("/") in _INLINE else -1.0
+                if name.lstrip("/") in _MATH:
+                    known = MOST
             if _aside(name.lstrip("/"), kind):
                 known = min(known, -20.0)
         return known
@@ -256,7 +308,7 @@ def extract(pages: DataFrame, scores: Scores, keep: list[str]) -> DataFrame:
 
     Character references are decoded, white space within and between blocks becomes
     one blank, the ends are trimmed; scripts, styles, comments and elements that are no
-    article text (menus, forms, adverts) are left out. NULL and empty pages, and pages
+    article text (menus, forms, adverts) are left out, formulas are text. NULL and empty pages, and pages
     without words, have an empty text. Rows neither merge nor change places; a column
     of ``pages`` called like a result is replaced.
     """

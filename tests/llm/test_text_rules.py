@@ -142,3 +142,28 @@ def test_article_alone_comes_out(spark):
     got = {r.page_id: r.text for r in html_text.extract(pages, scores, ["page_id", "text"]).collect()}
     assert got[1] == got[2] == "" and got[5] == "just words" and got[3] == "broken"
     assert html_text.extract(pages.limit(0), html_text.train(pages), ["page_id"]).count() == 0
+
+
+def whole_text(source):
+    page = html_text.Page(source)
+    return page.text(0, len(page.tags))
+
+
+def test_formulas_are_text():
+    source = "<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold</p>"
+    assert whole_text(source) == "Let x=2 hold"
+    words = "plain words of an article " * 8
+    body = f"<article><p>{words}</p><p>so {source} and {words}</p></article>"
+    page = f"<html><body><nav><a>Home</a></nav>{body}<footer>Imprint</footer></body></html>"
+    text = html_text.main_text(page, html_text.fit([page]))
+    assert "x=2" in text and text.count("article") == 16
+
+
+def test_asides_without_an_end_tag():
+    assert whole_text("<div><p>a<p class=ad>b<p>c</div>d") == "a c d"
+    assert whole_text("<div><p>a<p class=ad>b <b>bold</b> </i> x</div>d") == "a d"
+    assert whole_text("<p class=ad>b<div>c</div>d") == "c d"
+    assert whole_text("<p class=ad>b</p>c<p class=ad>d<p class=ad>e<h2>f</h2>") == "c f"
+    assert whole_text("<ul><li>a<li class=ad>b<ul><li>c</ul>d<li>e</ul>f") == "a e f"
+    assert whole_text("<ul><li>a<li class=ad>b<p>c</ul>f") == "a f"
+    assert whole_text("<div class=ad>a<div>b</div>c</div>d") == "d"
