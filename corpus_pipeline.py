@@ -23,10 +23,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest doc_id, of each group of near-duplicates."""
-    groups = minhash.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    others = materialize(groups.where("NOT kept").select("doc_id").distinct(), "others")
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near-duplicates, one with the smallest doc_id.
+
+    Rows are compared, not ids: of rows with one doc_id those whose texts are near to
+    each other are a group like any other, and those with another text stay. A row with
+    a NULL doc_id takes part and comes after all others of its group. A text without
+    words, NULL included, is near to nothing: all such rows stay, copies included.
+    """
+    # Stored with its numbers, so that a row has one number wherever it is read.
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    texts = rows.select(F.col("_row").alias("doc_id"), "text")
+    groups = minhash.near_duplicates(texts, SHINGLE_WORDS, SIMILAR_PERCENT)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
+    members = groups.select(F.col("doc_id").alias("_row"), "component_id")
+    firsts = (
+        rows.select("_row", order.alias("order"))
+        .join(members, "_row")
+        .groupBy("component_id")
+        .agg(F.min("order")["_row"].alias("_row"))
+    )
+    kept = materialize(firsts.select("_row"), "kept")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

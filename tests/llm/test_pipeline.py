@@ -40,3 +40,17 @@ def test_pipeline(spark, tmp_path):
         letters = "".join(t.removesuffix("</w>") for t in r.text.split(" "))
         assert letters and i in kept[3] and encoder.tokens[r.ids[0]] in r.text
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == sum(1 for _ in docs.collect())
+
+
+def test_near_duplicates_by_row(spark):
+    """Repeated and NULL ids, and two texts under one id of which one is a copy."""
+    draw = random.Random(8)
+    one, two, three, four = (" ".join(f"w{draw.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, one), (1, one), (2, one), (2, two), (None, one), (None, three), (None, three)]
+    rows += [(5, four), (4, four + " more"), (None, four), (7, None), (7, None), (None, "  ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(1, one), (2, two), (None, three), (4, four + " more"), (7, None), (7, None), (None, "  ")]
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
