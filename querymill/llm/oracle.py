@@ -130,8 +130,126 @@ _DOCUMENTS = rf"""
            words.doc_id <= coalesce(root, words.doc_id) AS kept
     FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN roots ON words.doc_id = roots.a"""
 
+# Terms of bytes from 0x80 on are those of all characters beyond ASCII.
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SEARCH = rf"""
+    WITH words AS (
+        SELECT row_number() OVER () AS d, doc_id, regexp_extract_all({_LOW}, '{_TERMS}') AS w
+        FROM documents),
+    docs AS (SELECT d, doc_id, len(w) AS n FROM words WHERE len(w) > 0),
+    totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+    asked AS (
+        SELECT item_id, t, count(*) AS times FROM (
+            SELECT item_id, unnest(regexp_extract_all({_LOW}, '{_TERMS}')) AS t FROM benchmark)
+        GROUP BY item_id, t),
+    postings AS MATERIALIZED (
+        SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(w) AS t FROM words)
+        WHERE t IN (SELECT t FROM asked) GROUP BY d, t),
+    weights AS (
+        SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+        FROM postings, totals GROUP BY t, n_docs),
+    scores AS (
+        SELECT item_id, doc_id, d, sum(
+            times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + 25 * n * n_docs // n_terms)))
+            )::BIGINT AS score
+        FROM asked JOIN postings USING (t) JOIN weights USING (t) JOIN docs USING (d), totals
+        GROUP BY item_id, doc_id, d),
+    ranked AS (
+        SELECT *, row_number() OVER (
+            PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+        FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
+# A checksum byte by byte over the 256 values that a byte's eight steps give.
+_SPELLING = rf"""
+    WITH RECURSIVE steps AS (
+        SELECT list(c ORDER BY i) AS t FROM (
+            SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+            FROM range(256) AS r(i))),
+    runs AS (
+        SELECT doc_id, run, count(*) AS n FROM (
+            SELECT doc_id, unnest(regexp_extract_all({_LOW}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+            FROM documents)
+        WHERE length(run) >= 6 GROUP BY doc_id, run),
+    hexed AS (
+        SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs),
+    hashed AS (
+        SELECT run, n, xor(list_reduce(list_prepend(4294967295,
+            [(instr('0123456789ABCDEF', x[2 * i + 1]) - 1) * 16
+             + instr('0123456789ABCDEF', x[2 * i + 2]) - 1 FOR i IN range(length(x) // 2)]),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+        FROM hexed, steps),
+    words AS MATERIALIZED (
+        SELECT word, sum(n)::BIGINT AS n FROM (
+            SELECT n, CASE WHEN h % 199 = 0
+                THEN left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2)
+                ELSE run END AS word
+            FROM hashed)
+        WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+    shorter AS MATERIALIZED (
+        SELECT DISTINCT word, i, left(word, i - 1) || substr(word, i + 1) AS rest
+        FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    near AS (
+        SELECT a.word, b.word AS near FROM shorter a JOIN shorter b
+            ON a.rest = b.rest AND a.i = b.i AND length(a.word) = length(b.word) AND a.word <> b.word
+        UNION SELECT a.word, b.word FROM shorter a JOIN words b ON a.rest = b.word
+        UNION SELECT b.word, a.word FROM shorter a JOIN words b ON a.rest = b.word),
+    best AS (
+        SELECT near.word, count(*) AS n_near, max(m.n) AS top_n FROM near JOIN words m ON near = m.word
+        GROUP BY near.word),
+    forms AS MATERIALIZED (
+        SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN top_n >= 5 * words.n THEN top_n END AS form_n,
+               CASE WHEN top_n >= 5 * words.n THEN (
+                   SELECT min(near) FROM near JOIN words m ON near = m.word
+                   WHERE near.word = words.word AND m.n = top_n) END AS form
+        FROM words LEFT JOIN best USING (word)),
+    chain AS (
+        SELECT word, word AS root, 0 AS depth FROM forms
+        UNION ALL
+        SELECT chain.word, f.form, depth + 1 FROM chain JOIN forms f ON chain.root = f.word
+        WHERE f.form IS NOT NULL),
+    roots AS (SELECT word, arg_max(root, depth) AS root FROM chain GROUP BY word)
+    SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
+_URLS = r"""
+    WITH cut AS (
+        SELECT page_id, translate(regexp_extract(u, '^.*?://([^/?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(u, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
+               regexp_extract(u, '^.*?://[^?#]*(\?[^#]*)', 1, 's') AS query
+        FROM (SELECT page_id, coalesce(url, '') AS u FROM pages)),
+    rules(verdict, h, p) AS (
+        VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+               ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'),
+               ('block', 'net', '/fr/')),
+    fits AS (
+        SELECT c, arg_max(h || p, length(h || p)) AS rule,
+               arg_max(verdict, length(h || p)) AS verdict
+        FROM (SELECT DISTINCT {'host': host, 'path': path} AS c FROM cut), rules
+        WHERE (c.host = h OR ends_with(c.host, '.' || h)) AND starts_with(c.path, p)
+        GROUP BY c),
+    seen AS (
+        SELECT cut.*, fits.rule, fits.verdict AS said, CASE
+            WHEN fits.rule IS NOT NULL THEN NULL
+            WHEN regexp_matches(host || path || query, '^[^/?]*\.org/.*\.html$', 's')
+                THEN '*.org/**.html'
+            WHEN regexp_matches(host || path || query, '^m\.[^/?]*\.org/', 's') THEN 'm.*.org/**'
+            WHEN contains(host || path || query, '?page=') THEN '**?page=**' END AS pattern
+        FROM cut LEFT JOIN fits ON c.host = cut.host AND c.path = cut.path)
+    SELECT page_id, host, path, rule, pattern, CASE
+        WHEN rule IS NOT NULL THEN said
+        WHEN pattern IN ('m.*.org/**', '**?page=**') THEN 'block' ELSE 'allow' END AS verdict
+    FROM seen"""
+
 ORACLE: dict[str, str] = {
     "op3_embedding_dedup": _VECTORS,
     "op4_quality_rules": _QUALITY,
     "op6_minhash_dedup": _DOCUMENTS,
+    "op11_search": _SEARCH,
+    "op12_spelling": _SPELLING,
+    "op13_url_rules": _URLS,
 }

@@ -15,7 +15,10 @@ from querymill.llm import (
     pii,
     quality,
     resampling,
+    search,
+    spelling,
     toxicity,
+    url_rules,
 )
 from querymill.llm.common import table
 from querymill.llm.oracle import ORACLE
@@ -83,6 +86,36 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.train(docs), ["doc_id"])
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return search.best_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+# The rules of the task.
+URL_RULES = [
+    url_rules.Rule("allow", "com", "/"),
+    url_rules.Rule("block", "example.com", "/en/"),
+    url_rules.Rule("allow", "www.example.com", "/en/"),
+    url_rules.Rule("block", "net", "/es/"),
+    url_rules.Rule("block", "net", "/fr/"),
+]
+# Where no rule fits: later pages of lists and mobile copies go, articles stay.
+URL_GLOBS = [
+    url_rules.Glob("allow", "*.org/**.html"),
+    url_rules.Glob("block", "m.*.org/**"),
+    url_rules.Glob("block", "**?page=**"),
+]
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_rules.judge(pages, URL_RULES, URL_GLOBS, keep=["page_id"])
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -96,5 +129,8 @@ QUERIES = {
         op8_passages,
         op9_resampling,
         op10_pii,
+        op11_search,
+        op12_spelling,
+        op13_url_rules,
     )
 }
