@@ -353,6 +353,16 @@ def csv_one_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return version_sources.load_latest(spark, root, "csv", texts.schema).drop("version")
 
 
+def csv_parallel_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same texts, each file read in ranges of a MiB by as many tasks."""
+    documents = _table(spark, sf_dir, "documents")
+    root = fresh_path(spark, "csv")
+    version_sinks.write_version(documents, root, "csv")
+    return files.scan_prefix(
+        spark, root, "csv", documents.schema, own_csv=True, range_bytes=1 << 20
+    )
+
+
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _table(spark, sf_dir, "customer")
     root = fresh_path(spark, "json")
@@ -720,6 +730,7 @@ QUERIES: dict[str, Query] = {
         csv_roundtrip,
         csv_text_roundtrip,
         csv_one_column,
+        csv_parallel_text,
         json_roundtrip,
         json_text_roundtrip,
         latest_version,

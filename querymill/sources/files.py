@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from querymill.sources.csv_ranges import RANGE_BYTES, scan_csv_ranges
+
 # The formats a scoring input may be declared as.
 INPUT_FORMATS = {
     "parquet": "parquet",
@@ -102,20 +104,49 @@ def scan_parquet(
     return reader_for(spark, "parquet", schema).load(list(paths))
 
 
+def _load_csv(
+    spark: SparkSession,
+    paths: list[str],
+    schema: StructType | None,
+    multiline: bool,
+    own_csv: bool,
+    recursive: bool,
+    range_bytes: int,
+) -> DataFrame:
+    reader = reader_for(spark, "csv", schema, multiline, own_csv)
+    plain = reader.option("recursiveFileLookup", recursive).load(paths)
+    # Columns from directory names are Spark's scan's alone.
+    if schema is None or not multiline or plain.columns != schema.fieldNames():
+        return plain
+    options = CSV_DIALECT | (OWN_CSV if own_csv else {})
+    return scan_csv_ranges(
+        plain,
+        paths,
+        schema,
+        options,
+        recursive=recursive,
+        own=own_csv,
+        range_bytes=range_bytes,
+    )
+
+
 def scan_csv(
     spark: SparkSession,
     *paths: str,
     schema: StructType | None = None,
     multiline: bool = True,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """CSV files with a header line.
 
     Without a schema the types are inferred, which reads the input once more. A
     header that does not fit the schema, or a malformed row, stops the query.
-    Quoted fields may hold line breaks. Such files are read one per task, so pass
-    ``multiline=False`` for files known to have none: large ones are then split.
+    Quoted fields may hold line breaks. With a schema, files of more than ``range_bytes``
+    are cut into ranges all the same, for which they are read twice (see
+    ``csv_ranges``); without one each file is read by one task. ``multiline=False`` is for
+    files known to have no line breaks in fields: one pass, no Python.
     """
-    return reader_for(spark, "csv", schema, multiline).load(list(paths))
+    return _load_csv(spark, list(paths), schema, multiline, False, False, range_bytes)
 
 
 def scan_json(
@@ -133,15 +164,18 @@ def scan_prefix(
     *,
     multiline: bool = True,
     own_csv: bool = False,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """All files of one format at any depth under ``prefix``.
 
-    ``multiline=False`` lets large CSV files without quoted line breaks be split.
-    ``own_csv`` is for CSV files that the version sink wrote.
+    ``multiline`` and ``range_bytes`` as in ``scan_csv``. ``own_csv`` is for CSV files that
+    the version sink wrote.
     """
+    if fmt == "csv":
+        rows = _load_csv(spark, [prefix], schema, multiline, own_csv, True, range_bytes)
+        return without_backslash(rows) if own_csv else rows
     reader = reader_for(spark, fmt, schema, multiline, own_csv)
-    rows = reader.option("recursiveFileLookup", True).load(prefix)
-    return without_backslash(rows) if own_csv and fmt == "csv" else rows
+    return reader.option("recursiveFileLookup", True).load(prefix)
 
 
 def scan_declared(
@@ -152,14 +186,21 @@ def scan_declared(
     *,
     multiline: bool = True,
     own_csv: bool = False,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Everything under ``prefix`` in the declared format, Parquet or CSV.
 
-    Any other format is refused before a file is looked at. ``multiline`` and
-    ``own_csv`` as in ``scan_prefix``.
+    Any other format is refused before a file is looked at. ``multiline``, ``own_csv`` and
+    ``range_bytes`` as in ``scan_prefix``.
     """
     if declared not in INPUT_FORMATS:
         raise ValueError(f"expected one of {sorted(INPUT_FORMATS)}, got {declared!r}")
     return scan_prefix(
-        spark, prefix, INPUT_FORMATS[declared], schema, multiline=multiline, own_csv=own_csv
+        spark,
+        prefix,
+        INPUT_FORMATS[declared],
+        schema,
+        multiline=multiline,
+        own_csv=own_csv,
+        range_bytes=range_bytes,
     )

@@ -8,8 +8,8 @@ from querymill.plans.queries import QUERIES
 from querymill.plans.sql_datasets import SQL_DATASETS
 
 SF_DIR = "/root/testdata/sf0.001"
-# The only operator whose work Spark has no expression for.
-IN_PYTHON = {"nearest_neighbor", "nearest_neighbor_leaves", "accuracy"}
+# Operators whose work Spark has no expression for.
+IN_PYTHON = {"nearest_neighbor", "nearest_neighbor_leaves", "accuracy", "csv_parallel_text"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
