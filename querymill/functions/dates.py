@@ -54,3 +54,20 @@ def yesterday(zone: str = DEFAULT_ZONE, utc: Column | None = None) -> Column:
 
 def iso_date(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM-dd")
+
+
+def ordered_number(time: Column, kind: str) -> Column:
+    """A date, timestamp or number of type ``kind`` as a double that grows with it.
+
+    Numbers beyond 2**53 may fall together, but never change their order.
+    """
+    day = F.datediff(time.cast("date"), F.lit("1970-01-01").cast("date")).cast("double")
+    if kind == "timestamp":
+        return F.unix_micros(time).cast("double")
+    if kind == "timestamp_ntz":
+        # Days and time of day apart, so that no zone comes in.
+        seconds = F.hour(time) * 3600 + F.minute(time) * 60 + F.extract(F.lit("SECOND"), time)
+        return day * 86400 + seconds.cast("double")
+    if kind == "date":
+        return day
+    return time.cast("double")

@@ -121,6 +121,38 @@ ORACLE: dict[str, str] = {
     "ctas_roundtrip": _DATE_PARTS,
     "csv_roundtrip": "SELECT * FROM customer",
     "csv_text_roundtrip": "SELECT * FROM documents",
+    "csv_parallel_text": "SELECT * FROM documents",
+    "ordered_half": """
+        SELECT * FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber
+        LIMIT (SELECT count(*) // 2 FROM lineitem)""",
+    "ordered_half_ties": """
+        SELECT l_shipdate, l_returnflag FROM lineitem ORDER BY l_shipdate, l_returnflag
+        LIMIT (SELECT count(*) // 3 FROM lineitem)""",
+    "asof_previous_event": """
+        WITH one AS (
+            SELECT user_id, ts, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type
+            FROM events GROUP BY user_id, ts)
+        SELECT e.event_id, e.user_id, e.ts, e.event_type,
+               coalesce(p.event_id, -1) AS last_event_id,
+               p.ts AS last_ts, p.event_type AS last_event_type
+        FROM events e ASOF LEFT JOIN one p ON e.user_id = p.user_id AND e.ts > p.ts""",
+    "asof_order_of_event": """
+        WITH one AS (
+            SELECT o_orderdate + INTERVAL 8760 DAYS AS made_at, max(o_orderkey) AS o_orderkey
+            FROM orders GROUP BY ALL)
+        SELECT event_id, ts, o_orderkey, made_at
+        FROM events ASOF LEFT JOIN one ON ts >= made_at""",
+    "overlapping_orders": """
+        WITH open AS (
+            SELECT o_orderkey, o_custkey, o_orderdate AS s,
+                   o_orderdate + to_days(cast(floor(o_totalprice / 1000) AS integer)) AS e
+            FROM orders WHERE o_totalprice >= 1000)
+        SELECT p.o_custkey, p.o_orderkey AS a, q.o_orderkey AS b
+        FROM open p JOIN open q ON p.o_custkey = q.o_custkey AND p.o_orderkey < q.o_orderkey
+            AND p.s < q.e AND q.s < p.e""",
+    "range_join": """
+        SELECT c_custkey, s_suppkey, c_acctbal AS c_from FROM customer JOIN supplier
+        ON c_acctbal BETWEEN s_acctbal - abs(s_acctbal) / 1000 AND s_acctbal + abs(s_acctbal) / 1000""",
     "csv_one_column": """
         SELECT CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 <> 1 THEN text END AS text
         FROM documents""",

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from querymill.functions import dates, paths
 from querymill.operators import (
+    asof,
     classifier,
     columns,
     evaluation,
     layout,
     limits,
     neighbors,
+    overlaps,
     registry,
 )
 from querymill.plans import jobs
@@ -197,6 +199,78 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limits.latest_per_key(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
+def ordered_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The half of all lines that cost most."""
+    lines = _table(spark, sf_dir, "lineitem")
+    order = ["l_extendedprice", "l_orderkey", "l_linenumber"]
+    return limits.first_rows(lines, lines.count() // 2, order, [True, False, False])
+
+
+def ordered_half_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earliest third of ship dates and flags, which thousands of lines share."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_shipdate", "l_returnflag")
+    return limits.first_rows(lines, lines.count() // 3, ["l_shipdate", "l_returnflag"])
+
+
+# ---------------------------------------------------------------- joins by time and range
+
+
+def asof_previous_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with its user's last event before it."""
+    events = _table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    found = asof.asof_join(
+        events, events, ["user_id"], "ts", "ts", strict=True, ties=["event_id"], rename="last_{}"
+    )
+    return found.fillna(-1, ["last_event_id"])
+
+
+def asof_order_of_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with the last order made until then by anyone, all under one key."""
+    one = F.lit(0).alias("one")
+    events = _table(spark, sf_dir, "events").select("event_id", "ts", one)
+    shift = F.expr("INTERVAL 8760 DAYS")
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_orderdate") + shift).alias("made_at"), one
+    )
+    found = asof.asof_join(
+        events, orders, ["one"], "ts", "made_at", ties=["o_orderkey"], rows_per_bucket=10_000
+    )
+    return found.drop("one")
+
+
+def overlapping_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a customer's orders, one of them being made while the other was open: a day
+    for each thousand of its price."""
+    end = F.col("o_orderdate") + F.make_dt_interval((F.col("o_totalprice") / 1000).cast("int"))
+    orders = _table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("a"),
+        "o_custkey",
+        F.col("o_orderdate").alias("a_from"),
+        end.alias("a_to"),
+    )
+    others = orders.withColumnsRenamed({"a": "b", "a_from": "b_from", "a_to": "b_to"})
+    pairs = overlaps.overlap_join(
+        orders, others, ("a_from", "a_to"), ("b_from", "b_to"), ["o_custkey"], closed=False
+    )
+    return pairs.where("a < b").select("o_custkey", "a", "b")
+
+
+def range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and suppliers whose balances lie within a band of each other, which is as
+    wide as a thousandth of the supplier's."""
+    customers = _table(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_acctbal").alias("c_from"), F.col("c_acctbal").alias("c_to")
+    )
+    band = F.abs("s_acctbal") / 1000
+    suppliers = _table(spark, sf_dir, "supplier").select(
+        "s_suppkey",
+        (F.col("s_acctbal") - band).alias("s_from"),
+        (F.col("s_acctbal") + band).alias("s_to"),
+    )
+    pairs = overlaps.overlap_join(customers, suppliers, ("c_from", "c_to"), ("s_from", "s_to"))
+    return pairs.select("c_custkey", "s_suppkey", "c_from")
+
+
 # ---------------------------------------------------------------- layout
 
 
@@ -719,6 +793,12 @@ QUERIES: dict[str, Query] = {
         prediction_only,
         head_by_key,
         latest_per_key,
+        ordered_half,
+        ordered_half_ties,
+        asof_previous_event,
+        asof_order_of_event,
+        overlapping_orders,
+        range_join,
         distributed_together,
         distributed_split,
         partitioned_roundtrip,
