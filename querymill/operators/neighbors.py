@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from querymill.operators.blocks import BlockSearch
 from querymill.session import materialize
 
 # Bounds on what reaches the driver: the tree, one box per leaf, and the sample.
@@ -41,13 +42,16 @@ def nearest_neighbor(
     features: Sequence[str],
     leaf_rows: int = 2048,
     chunk_rows: int = 16_384,
+    max_leaves: int = MAX_LEAVES,
 ) -> DataFrame:
     """Label of the training row nearest to each test row.
 
     Euclidean distance in double precision; of equally near rows the one with
     the smallest key counts. ``key`` identifies a row. Made for few dimensions: with
     dozens of unrelated ones boxes rule out little, and nearly all pairs are compared,
-    most of them by a matrix product alone. Returns ``key``,
+    most of them by a matrix product alone. Where ``max_leaves`` leaves of ``leaf_rows`` are
+    not enough for the points, leaves are cut further into blocks (see ``blocks``), and what
+    a row compares does not grow with the points. Returns ``key``,
     ``nearest_key``, ``predicted`` and ``distance`` for every test row.
     """
     dims = [f"_f{i}" for i in range(len(features))]
@@ -64,7 +68,8 @@ def nearest_neighbor(
     size = points.count()
     if size == 0:
         raise ValueError("no training rows")
-    depth = min(math.ceil(math.log2(max(size / leaf_rows, 1))), int(math.log2(MAX_LEAVES)))
+    wanted = math.ceil(math.log2(max(size / leaf_rows, 1)))
+    depth = min(wanted, int(math.log2(max_leaves)))
     leaf_of = _leaf_function(_sampled_tree(points.select(*dims), size, depth), depth)
     # Stored by leaf, so that a round's scan skips the files of other leaves.
     leaved = points.withColumn("_leaf", leaf_of(*dims))
@@ -79,14 +84,14 @@ def nearest_neighbor(
         .toPandas()
         .sort_values("_leaf", ignore_index=True)
     )
-    search = _LeafSearch(points, boxes, dims, chunk_rows)
-    best = _visit_leaves(
-        test.select(F.col(key).alias("_key"), *point),
-        search,
-        boxes,
-        dims,
-        train.schema[label].dataType.simpleString(),
-    )
+    rows = test.select(F.col(key).alias("_key"), *point)
+    if wanted > depth:
+        blocks = BlockSearch(points, boxes, dims, leaf_rows, chunk_rows, _nearest_in_group(dims))
+        best = blocks.run(rows, lambda start, width: _nearest_leaves(boxes, dims, start, width))
+    else:
+        search = _LeafSearch(points, boxes, dims, chunk_rows)
+        label_type = train.schema[label].dataType.simpleString()
+        best = _visit_leaves(rows, search, boxes, dims, label_type)
     return best.select(
         F.col("_key").alias(key),
         F.col("_best._near").alias("nearest_key"),

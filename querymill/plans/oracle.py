@@ -121,6 +121,9 @@ ORACLE: dict[str, str] = {
     "ctas_roundtrip": _DATE_PARTS,
     "csv_roundtrip": "SELECT * FROM customer",
     "csv_text_roundtrip": "SELECT * FROM documents",
+    "hashed_neighbor_recall": f"""
+        SELECT count(*) AS n_rows, true AS recall_reached FROM embeddings
+        WHERE NOT {_SPLIT.format(key="cast(vec_id AS varchar)")}""",
     "csv_parallel_text": "SELECT * FROM documents",
     "ordered_half": """
         SELECT * FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber

@@ -17,6 +17,7 @@ from querymill.operators import (
     classifier,
     columns,
     evaluation,
+    hashed_neighbors,
     layout,
     limits,
     neighbors,
@@ -554,6 +555,20 @@ def nearest_neighbor_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(found.withColumnRenamed("nearest_key", "nearest_id"), "neighbors")
 
 
+def hashed_neighbor_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that hashed candidates answer, and whether nine in ten neighbours are the
+    nearest of all, in 64 dimensions."""
+    train, test = evaluation.train_test_split(_whole_points(spark, sf_dir), "vec_id")
+    exact = neighbors.nearest_neighbor(test, train, "vec_id", "label", ALL_FEATURES)
+    hashed = hashed_neighbors.hashed_neighbor(test, train, "vec_id", "label", ALL_FEATURES)
+    same = F.col("n.distance") == F.col("e.distance")
+    both = hashed.alias("n").join(exact.alias("e"), "vec_id")
+    measured = both.agg(F.count("*").alias("n_rows"), F.avg(same.cast("double")).alias("recall"))
+    return materialize(
+        measured.select("n_rows", (F.col("recall") >= 0.9).alias("recall_reached")), "recall"
+    )
+
+
 def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.neighbor_accuracy(_points(spark, sf_dir), "vec_id", "label", FEATURES)
 
@@ -825,6 +840,7 @@ QUERIES: dict[str, Query] = {
         nearest_neighbor,
         nearest_neighbor_leaves,
         nearest_neighbor_whole,
+        hashed_neighbor_recall,
         accuracy,
         accuracy_whole,
         fitted_class_totals,

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from querymill.operators import neighbors
+from querymill.operators.blocks import BlockSearch
+from querymill.operators import hashed_neighbors
 from querymill.operators.evaluation import in_train
 from querymill.operators.neighbors import nearest_neighbor
 from querymill.plans.jobs import neighbor_accuracy
@@ -50,7 +52,7 @@ DRAWS = {
 
 
 @pytest.mark.parametrize("draw", sorted(DRAWS))
-@pytest.mark.parametrize("options", [{}, {"leaf_rows": 8, "chunk_rows": 16}])
+@pytest.mark.parametrize("options", [{}, {"leaf_rows": 8, "chunk_rows": 16}, {"leaf_rows": 8, "chunk_rows": 16, "max_leaves": 4}])
 def test_equals_brute_force(spark, draw, options):
     rng = np.random.default_rng(5)
     train = table(rng, 400, 3, 0, DRAWS[draw])
@@ -139,3 +141,86 @@ def test_whole_embeddings_are_compared(spark):
     want = dict(zip(ids[~train].tolist(), ids[train][square.argmin(axis=1)].tolist(), strict=True))
     got = QUERIES["nearest_neighbor_whole"](spark, sf_dir).collect()
     assert {r.vec_id: r.nearest_id for r in got} == want
+
+
+def test_visits_do_not_grow_with_the_points(spark):
+    """Ten times the points under a tree of 16 leaves: a row sees about as many blocks."""
+    rng = np.random.default_rng(8)
+    per_row = []
+    for n in (3000, 30_000):
+        features = ["x0", "x1", "x2"]
+        train = spark.createDataFrame(table(rng, n, 3, 0, DRAWS["spread"]))
+        points = train.select(
+            *[F.col(x).alias(f"_f{i}") for i, x in enumerate(features)],
+            F.col("id").alias("_near"), F.col("label").alias("_label"))
+        dims = ["_f0", "_f1", "_f2"]
+        tree = neighbors._leaf_function(neighbors._sampled_tree(points.select(*dims), n, 4), 4)
+        leaved = points.withColumn("_leaf", tree(*dims))
+        boxes = (
+            leaved.groupBy("_leaf")
+            .agg(*[F.min(d).alias(f"lo{d}") for d in dims], *[F.max(d).alias(f"hi{d}") for d in dims])
+            .toPandas()
+            .sort_values("_leaf", ignore_index=True)
+        )
+        search = BlockSearch(leaved, boxes, dims, 64, 1000, neighbors._nearest_in_group(dims))
+        test = table(rng, 200, 3, 10**6, DRAWS["spread"])
+        rows = spark.createDataFrame(test).select(
+            F.col("id").alias("_key"), *[F.col(x).alias(d) for x, d in zip(features, dims, strict=True)])
+        best = search.run(rows, lambda a, b, boxes=boxes: neighbors._nearest_leaves(boxes, dims, a, b))
+        assert best.count() == 200
+        per_row.append(search.visits / 200)
+    assert per_row[1] < 2 * per_row[0]
+    assert per_row[1] < 0.1 * 30_000 / 64
+
+
+def test_collision_chance_is_measured():
+    rng = np.random.default_rng(2)
+    for distance in (0.5, 1.0, 3.0):
+        offset = rng.uniform(0, 2.0, 200_000)
+        step = rng.normal(size=200_000) * distance
+        share = np.mean(np.floor(offset / 2.0) == np.floor((offset + step) / 2.0))
+        chance = hashed_neighbors.collision(np.array([distance]), 2.0)[0]
+        assert abs(share - chance) < 0.01
+    assert hashed_neighbors.collision(np.array([0.0]), 2.0)[0] == 1.0
+
+
+@pytest.mark.parametrize("kind", ["groups", "unrelated", "copies"])
+def test_hashed_neighbors(spark, kind):
+    """Recall of nine in ten, distances exact, every row answered; hot cells are cut."""
+    rng = np.random.default_rng(6)
+    features = [f"x{d}" for d in range(24)]
+    centers = rng.normal(size=(12, 24)) * 6
+
+    def some(n, start):
+        values = rng.normal(size=(n, 24))
+        if kind == "groups":
+            values += centers[rng.integers(0, 12, n) * (rng.random(n) > 0.4)]
+        if kind == "copies":
+            values = np.round(values * 0.3)
+        df = pd.DataFrame(values, columns=features)
+        return df.assign(id=np.arange(start, start + n), label=[f"l{i % 7}" for i in range(n)])
+
+    train, test = some(1500, 0), some(200, 10_000)
+    test.loc[:2, features] = 1e6  # far from everything
+    found = hashed_neighbors.hashed_neighbor(
+        spark.createDataFrame(test), spark.createDataFrame(train), "id", "label", features, chunk_rows=200
+    ).collect()
+    want = brute_force(test, train, features)
+    assert sorted(r.id for r in found) == sorted(want)
+    exact = [r.distance == want[r.id][1] for r in found]
+    assert np.mean(exact) >= 0.9
+    by_id = train.set_index("id")[features]
+    for r in found[:50]:
+        gap = by_id.loc[r.nearest_key].to_numpy() - test.set_index("id").loc[r.id, features].to_numpy(float)
+        assert abs(r.distance - np.sqrt((gap**2).sum())) <= 1e-9 * max(1, r.distance)
+
+
+def test_less_is_compared_where_neighbours_are_near():
+    rng = np.random.default_rng(3)
+    near, far = rng.uniform(0.1, 0.3, 300), rng.uniform(4, 8, (300, 500))
+    easy = hashed_neighbors.calibrated(near, far, 1_000_000, 0.95)
+    assert easy.recall >= 0.95 and easy.share < 0.001
+    hard = hashed_neighbors.calibrated(far[:, 0] * 0.9, far, 1_000_000, 0.95)
+    assert hard.share > easy.share
+    with pytest.raises(ValueError, match="recall"):
+        hashed_neighbors.calibrated(near, far, 10, 2.0)
