@@ -22,9 +22,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KNOWN_WORDS = 200_000  # whose encodings a task remembers
-KNOWN_PAIRS = 1_000_000
-BATCH_TEXTS = 512
+# What a worker remembers from task to task, and the texts it takes at once.
+KNOWN_WORDS = 150_000  # twice
+KNOWN_PAIRS = 300_000
+KNOWN_BYTES = 16 << 20  # of words and their encodings, twice
+BATCH_BYTES = 1 << 20
 
 # White space as the vocabulary's normaliser knows it, and the pattern of
 # its words for texts in lower case.
@@ -68,7 +70,13 @@ class Encoder:
         letters = byte_letters()
         self.letter = [letters[b] for b in range(256)]
         # Tokens that BPE makes of their own text; no other one occurs in an encoding.
-        self.longest = max((len(t.removesuffix(END)) for t in self.ids), default=1)
+        # Lengths of longer tokens by their last two letters, the longest first.
+        lengths: dict[str, set[int]] = {}
+        for token in self.ids:
+            body = token.removesuffix(END)
+            if len(body) > 1:
+                lengths.setdefault(body[-2:] + token[len(body) :], set()).add(len(body))
+        self.lengths = {ending: sorted(n, reverse=True) for ending, n in lengths.items()}
         self.stands: dict[str, bool] = {}
         self.apart: dict[tuple[str, str], bool] = {}
 
@@ -112,15 +120,26 @@ class Encoder:
             self.apart[left, right] = known
         return known
 
-    def _last(self, text: str, end: str, before: list[str]) -> str:
-        """Last token of ``text + end``; ``before[n]`` is that of its first n letters."""
-        n = len(text)
-        for length in range(min(n, self.longest), 0, -1):
-            token = text[n - length :] + end
-            if token in self.ids and self._stands(token):
-                if length == n or self._apart(before[n - length], token):
+    def _last(self, word: str, n: int, end: str, before: list[str]) -> str:
+        """Last token of the first ``n`` letters and ``end``; ``before[m]`` is that of the
+        first m letters."""
+        ids, stands, apart = self.ids, self.stands, self.apart
+        lengths = self.lengths.get(word[n - 2 : n] + end, ()) if n > 1 else ()
+        for length in lengths:
+            if length > n:
+                continue
+            token = word[n - length : n] + end
+            if token in ids and (stands.get(token) or self._stands(token)):
+                if length == n:
+                    return token
+                left = before[n - length]
+                free = apart.get((left, token))
+                if self._apart(left, token) if free is None else free:
                     return token
-        raise ValueError(f"no token ends {text!r}")
+        token = word[n - 1] + end
+        if token in ids and (n == 1 or self._apart(before[n - 1], token)):
+            return token
+        raise ValueError(f"no token ends {word[:n]!r}")
 
     def encode_words(self, words: list[str]) -> dict[str, list[str]]:
         """Tokens of each distinct word, given in the vocabulary's letters.
@@ -139,9 +158,9 @@ class Encoder:
                 common += 1
             del before[common + 1 :]
             for n in range(len(before), len(word)):
-                before.append(self._last(word[:n], "", before))
+                before.append(self._last(word, n, "", before))
             path = word[: len(before) - 1]
-            tokens = [self._last(word, END, before)]
+            tokens = [self._last(word, len(word), END, before)]
             left = len(word) - len(tokens[0].removesuffix(END))
             while left:
                 tokens.append(before[left])
@@ -175,36 +194,48 @@ class Encoder:
         )
 
 
-@lru_cache(maxsize=2)
-def _encoder(vocabulary: str) -> Encoder:
-    return Encoder(vocabulary)
-
+class _Known:
+    """Encodings that a worker has met, as bytes of ids and as token texts.
 
-class _Task:
-    """Encodings that one task has met, as bytes of ids and as token texts."""
+    Two generations: once the newer one is full the older one goes, except for words that
+    have been met again.
+    """
 
     def __init__(self, encoder: Encoder) -> None:
         self.encoder = encoder
         self.ids: dict[str, bytes] = {}
         self.shown: dict[str, str] = {}
+        self.older: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
+        self.bytes = 0
+
+    def _remember(self, word: str, ids: bytes, shown: str) -> None:
+        self.ids[word], self.shown[word] = ids, shown
+        self.bytes += len(word) + len(ids) + len(shown)
 
     def learn(self, texts: list[list[str | list[str]]]) -> None:
-        if len(self.ids) > KNOWN_WORDS:
-            self.ids.clear()
-            self.shown.clear()
+        if len(self.ids) > KNOWN_WORDS or self.bytes > KNOWN_BYTES:
+            self.older, self.ids, self.shown, self.bytes = (self.ids, self.shown), {}, {}, 0
         new: set[str] = set()
         for parts in texts:
             for part in parts:
                 if isinstance(part, list):
                     new.update(part)
-        new.difference_update(self.ids)
-        spelled = {word: self.encoder.spelled(word) for word in new}
+        old_ids, old_shown = self.older
+        spelled: dict[str, str] = {}
+        for word in new:
+            if word in self.ids:
+                continue
+            if word in old_ids:
+                self._remember(word, old_ids[word], old_shown[word])
+            else:
+                spelled[word] = self.encoder.spelled(word)
         encoded = self.encoder.encode_words(list(set(spelled.values())))
         ids = self.encoder.ids
         for word, letters in spelled.items():
             tokens = encoded[letters]
-            self.ids[word] = b"".join([ids[t].to_bytes(4, "little") for t in tokens])
-            self.shown[word] = " ".join(tokens)
+            self._remember(
+                word, b"".join([ids[t].to_bytes(4, "little") for t in tokens]), " ".join(tokens)
+            )
 
     def encode(self, parts: list[str | list[str]]) -> bytes:
         out = []
@@ -215,7 +246,7 @@ class _Task:
                 out.append(self.encoder.special[part].to_bytes(4, "little"))
         return b"".join(out)
 
-    def decode(self, ids: bytes, parts: list[str | list[str]]) -> str:
+    def decode(self, parts: list[str | list[str]]) -> str:
         """Text of a document's own ids: tokens with a blank between."""
         out = []
         for part in parts:
@@ -226,46 +257,77 @@ class _Task:
         return " ".join(out)
 
 
+@lru_cache(maxsize=2)
+def _known(vocabulary: str) -> _Known:
+    return _Known(Encoder(vocabulary))
+
+
+@lru_cache(maxsize=2)
+def _tokens(vocabulary: str) -> dict[int, str]:
+    """Tokens by id, special ones included."""
+    model = json.loads(vocabulary)
+    tokens = {i: t for t, i in model["model"]["vocab"].items()}
+    return tokens | {t["id"]: t["content"] for t in model["added_tokens"]}
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``BATCH_BYTES`` of the column's text, a row at least."""
+    sizes = [len(v.as_buffer()) if v.is_valid else 0 for v in batch.column(column)]
+    at = held = 0
+    for n, size in enumerate(sizes):
+        held += size
+        if held >= BATCH_BYTES:
+            yield batch.slice(at, n + 1 - at)
+            at, held = n + 1, 0
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
 def encode(
-    docs: DataFrame, vocabulary: str, keep: list[str], digests: bool = False
+    docs: DataFrame,
+    vocabulary: str,
+    keep: list[str],
+    digests: bool = False,
+    decoded: bool = False,
 ) -> DataFrame:
     """Token ids of every whole text, beside the columns ``keep`` of ``docs``.
 
     ``vocabulary`` is the content of a tokenizer file: BPE with word ends, lower case,
     white space dropped. Special tokens' texts within a text become their ids; none are
-    added. Adds ``ids`` (array of int), or with ``digests`` n_tokens, ids_sha256 (of the
+    added. Adds ``ids`` (array of int), with ``decoded`` also ``text``, what the ids decode
+    to (see ``decode``), or with ``digests`` n_tokens, ids_sha256 (of the
     ids as little-endian unsigned 32-bit integers) and decoded_sha256 (of the decoded
     text in UTF-8). A NULL or blank text has no ids. Rows neither merge nor change
     places; a column of ``docs`` called like a result is replaced.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)
-    results = ("n_tokens", "ids_sha256", "decoded_sha256") if digests else ("ids",)
+    results = ("ids", "text") if decoded else ("ids",)
+    if digests:
+        results = ("n_tokens", "ids_sha256", "decoded_sha256")
     keep = [c for c in keep if c not in results]
     rows = docs.select(
         *[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("_text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value)
-        task = _Task(encoder)
+        known = _known(shared.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_TEXTS):
-                batch = whole.slice(at, BATCH_TEXTS)
+            for batch in _slices(whole, len(keep)):
                 texts = batch.column(len(keep)).to_pylist()
-                parts = [list(encoder.parts(text or "")) for text in texts]
-                task.learn(parts)
-                ids = [task.encode(p) for p in parts]
+                parts = [list(known.encoder.parts(text or "")) for text in texts]
+                known.learn(parts)
+                ids = [known.encode(p) for p in parts]
+                shown = [known.decode(p) for p in parts] if digests or decoded else []
                 if digests:
-                    decoded = [task.decode(i, p) for i, p in zip(ids, parts, strict=True)]
+                    sums = [hashlib.sha256(d.encode("utf-8")).hexdigest() for d in shown]
                     new = [
                         pa.array([len(i) // 4 for i in ids], pa.int64()),
                         pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-                        pa.array(
-                            [hashlib.sha256(d.encode("utf-8")).hexdigest() for d in decoded],
-                            pa.string(),
-                        ),
+                        pa.array(sums, pa.string()),
                     ]
+                elif decoded:
+                    new = [_lists(ids), pa.array(shown, pa.string())]
                 else:
                     new = [_lists(ids)]
                 yield pa.RecordBatch.from_arrays(
@@ -297,7 +359,7 @@ def decode(docs: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
     kept = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _encoder(shared.value).tokens
+        tokens = _tokens(shared.value)
         for batch in batches:
             lists = batch.column(kept.index(ids)).to_pylist()
             texts = [" ".join([tokens[i] for i in one or ()]) for one in lists]
