@@ -23,6 +23,8 @@ BUCKETS = 1 << 14
 SMOOTHING = 1.0
 KNOWN_WORDS = 500_000
 BINS = 4096
+HELD_NGRAMS = 1 << 20
+BITMAP_BITS = 1 << 24
 
 
 class _Hasher:
@@ -36,7 +38,7 @@ class _Hasher:
         known = self.known
         if len(known) > KNOWN_WORDS:
             known.clear()
-        for w in set(words) - known.keys():
+        for w in [w for w in set(words) if w not in known]:
             known[w] = zlib.crc32(w.encode("utf-8", "surrogatepass"))
         one = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         two = one[:-1] * np.uint64(2654435761) + one[1:] * np.uint64(40503) + np.uint64(1)
@@ -44,41 +46,51 @@ class _Hasher:
         return (both % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def _counts(docs: DataFrame, good: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """n-grams by bucket in all documents and in the target ones; each task adds up its own.
-
-    ``good(doc_id)``: the target's ids, each once.
-    """
+def _totals(texts: DataFrame) -> np.ndarray:
+    """n-grams by bucket in all rows of ``texts(text)``; each task adds up its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _Hasher()
-        totals = np.zeros((2, BUCKETS), np.int64)
+        totals = np.zeros(BUCKETS, np.int64)
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
-            texts, targets = (c.to_pylist() for c in batch.columns)
-            for text, is_target in zip(texts, targets, strict=True):
-                found = np.bincount(hasher.ngrams(text or ""), minlength=BUCKETS)
-                totals[0] += found
-                if is_target:
-                    totals[1] += found
-        seen = np.flatnonzero(totals[0])
+            for text in batch.column(0).to_pylist():
+                held.append(hasher.ngrams(text or ""))
+                size += len(held[-1])
+                if size > HELD_NGRAMS:
+                    totals += np.bincount(np.concatenate(held), minlength=BUCKETS)
+                    held, size = [], 0
+        if held:
+            totals += np.bincount(np.concatenate(held), minlength=BUCKETS)
+        seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(seen), pa.array(totals[0][seen]), pa.array(totals[1][seen])],
-            names=["bucket", "n_raw", "n_target"],
+            [pa.array(seen), pa.array(totals[seen])], names=["bucket", "n"]
         )
 
-    rows = (
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .join(good.withColumn("is_target", F.lit(True)), "doc_id", "left")
-        .select("text", "is_target")
-        .mapInArrow(run, "bucket long, n_raw long, n_target long")
-        .groupBy("bucket")
-        .agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target"))
-        .toPandas()  # one row per bucket
+    rows = texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    found = rows.toPandas()  # one row per bucket
+    totals = np.zeros(BUCKETS)
+    totals[found["bucket"]] = found["n"]
+    return totals
+
+
+def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with a doc_id among ``ids``.
+
+    A bitmap of hashed ids of a fixed size goes to every task first, so that about only the
+    texts that are wanted are shuffled.
+    """
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
+    maps = ids.groupBy(F.bitmap_bucket_number(h).alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("_bits")
     )
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[rows["bucket"]] = rows["n_raw"]
-    target[rows["bucket"]] = rows["n_target"]
-    return raw, target
+    place = F.bitmap_bit_position(h)
+    byte = F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))
+    held = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (place % 8).cast("int")) == 1
+    # At most BITMAP_BITS / 32768 rows of 4 KiB.
+    near = docs.withColumn("_part", F.bitmap_bucket_number(h)).join(F.broadcast(maps), "_part")
+    return near.where(held).drop("_part", "_bits").join(ids, "doc_id", "left_semi")
 
 
 def _gumbel(doc_id: Column, seed: int) -> Column:
@@ -116,14 +128,16 @@ def threshold(keys: DataFrame, k: int) -> float | None:
 def resample(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     """``log_weight``, ``key`` and ``kept`` of every document of ``docs(doc_id, text)``.
 
-    ``labels(doc_id, quality)``: the target is all documents of quality 1. As large a share of all documents is kept as is good among
-    the labelled ones (all, without labels): those with the largest keys. Whole texts
-    count, in the model of all documents as in the weights. A NULL, empty or blank text
+    ``labels(doc_id, quality)``: the target is all documents of quality 1. As large a share
+    of all documents is kept as is good among the labelled ones (all, without labels):
+    those with the largest keys. Whole texts count, in the model of all documents as in the weights. A NULL, empty or blank text
     has no n-grams and weight 0. Rows with equal doc_id draw the same noise; keys equal
     to the last one kept are kept, too.
     """
     ids = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
-    raw, target = _counts(docs, ids.where("doc_id IS NOT NULL").distinct())
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    good = ids.where("doc_id IS NOT NULL").distinct()
+    raw, target = _totals(texts.select("text")), _totals(_among(texts, good).select("text"))
     p_raw = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS)
     p_target = (target + SMOOTHING * p_raw * BUCKETS) / (target.sum() + SMOOTHING * BUCKETS)
     shared = docs.sparkSession.sparkContext.broadcast(np.log(p_target / p_raw))
