@@ -250,28 +250,34 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int =
     come at all, and so documents without words do not. ``n_chars``, if there, is set to
     the length of the text. Other columns stay as they are.
     """
-    size = word_count(F.col("text"))
-    named = F.struct("doc_id", "source", F.col("_size").alias("size"))
-    rows = docs.withColumn("_size", size).withColumn("_key", F.to_json(named))
-    sizes = rows.select("doc_id", "source", F.col("_size").alias("size"))
+    # A row lies in a struct of its own, whatever its columns are called.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        "doc_id",
+        "source",
+        word_count(F.col("text")).alias("size"),
+    )
+    key = F.to_json(F.struct("doc_id", "source", "size")).alias("key")
+    copies = Window.partitionBy("key").orderBy("copy", "takes")
     taken = (
-        mix(sizes, block_words, seed)
-        .groupBy(F.to_json(F.struct("doc_id", "source", "size")).alias("_key"))
-        .agg(F.sort_array(F.collect_list(F.struct("copy", "takes"))).alias("_all"))
+        mix(rows.select("doc_id", "source", "size"), block_words, seed)
+        .select(key, "copy", "takes")
+        .select("key", F.row_number().over(copies).alias("number"), "takes")
     )
-    number = F.row_number().over(Window.partitionBy("_key").orderBy("text"))
+    equal = Window.partitionBy("key").orderBy("row.text")
     pieces = (
-        rows.withColumn("_number", number)
-        .join(taken, "_key")
-        .withColumn("_take", F.explode(F.get("_all", F.col("_number") - 1)["takes"]))
-    )
-    cut = F.when(F.col("_take") == F.col("_size"), F.col("text")).otherwise(
-        first_words(F.col("text"), F.col("_take"))
+        rows.select("row", "size", key)
+        .withColumn("number", F.row_number().over(equal))
+        .join(taken, ["key", "number"])
+        .select("row", "size", F.explode("takes").alias("take"))
     )
-    out = pieces.withColumn("text", cut)
+    text = F.col("row.text")
+    cut = F.when(F.col("take") == F.col("size"), text).otherwise(first_words(text, F.col("take")))
+    out = pieces.select("row", cut.alias("cut"))
+    made = {"text": F.col("cut")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select([F.col(f"`{c}`") for c in docs.columns])
+        made["n_chars"] = F.length("cut").cast(docs.schema["n_chars"].dataType)
+    return out.select([made.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def first_words(text: Column, n: Column) -> Column:

@@ -227,7 +227,10 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
 
 
 def _searched(
-    index: DataFrame, queries: list[tuple[object, Counter]], vocabulary: dict[bytes, int], k: int,
+    index: DataFrame,
+    queries: list[tuple[object, Counter]],
+    vocabulary: dict[bytes, int],
+    k: int,
     item_type: str,
 ) -> DataFrame:
     """``query, item_id, doc_id, score``: the best documents of each task for each query."""
@@ -254,21 +257,18 @@ def _searched(
             lists = Lists(*_joined(part), weights, n_documents, n_terms)
             for (numbers, times), top in zip(asked, tops, strict=True):
                 lists.search(numbers, times, top)
-        query = np.repeat(np.arange(len(tops)), [len(top.score) for top in tops])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(query, pa.int32()),
-                pa.array(np.concatenate([top.doc_id for top in tops]),
-                         pa.int64(), mask=np.concatenate([top.nameless for top in tops])),
-                pa.array(np.concatenate([top.score for top in tops]), pa.int64()),
-            ],
-            names=["query", "doc_id", "score"],
-        )
+        for query, top in enumerate(tops):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(top.score), query), pa.int32()),
+                    pa.array(top.doc_id, pa.int64(), mask=top.nameless),
+                    pa.array(top.score, pa.int64()),
+                ],
+                names=["query", "doc_id", "score"],
+            )
 
     found = index.mapInArrow(run, "query int, doc_id long, score long")
-    names = spark.createDataFrame(
-        list(enumerate(items)), f"query int, item_id {item_type}"
-    )
+    names = spark.createDataFrame(list(enumerate(items)), f"query int, item_id {item_type}")
     return _ranked(found, k).join(F.broadcast(names), "query")
 
 

@@ -180,9 +180,9 @@ def judge(
     called like a result is replaced. Work grows with the characters of the URLs times
     the words of states, one for each 64 characters of all rules.
     """
-    for one in [*rules, *globs]:
-        if one.verdict not in ("allow", "block"):
-            raise ValueError(f"a verdict is allow or block, not {one.verdict!r}")
+    for verdict in [*[one.verdict for one in [*rules, *globs]], default]:
+        if verdict not in ("allow", "block"):
+            raise ValueError(f"a verdict is allow or block, not {verdict!r}")
     ranked = sorted(set(rules), key=lambda r: (-len(r.text), r.verdict != "block", r.text))
     literal = {g: sum(t[0] != "*" for t in _tokens(g.pattern)) for g in globs}
     more = sorted(literal, key=lambda g: (-literal[g], g.verdict != "block", g.pattern))
@@ -201,10 +201,10 @@ def judge(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number = automaton.first(batch.column(batch.num_columns - 1).to_pylist())
-            said = [pa.array(np.array(c, object)[number], pa.string()) for c in (texts, verdicts, shown)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *said], names=[*kept, *RESULTS]
-            )
+            said = [
+                pa.array(np.array(c, object)[number], pa.string()) for c in (texts, verdicts, shown)
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *said], names=[*kept, *RESULTS])
 
     old = "".join(
         f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[: len(kept)]

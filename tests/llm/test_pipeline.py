@@ -54,3 +54,25 @@ def test_near_duplicates_by_row(spark):
     want = [(1, one), (2, two), (None, three), (4, four + " more"), (7, None), (7, None), (None, "  ")]
     key = lambda r: (str(r[0]), str(r[1]))
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+
+
+def test_columns_called_like_helpers(spark):
+    """A stage returns such columns as they came."""
+    draw = random.Random(3)
+    rows = [
+        (i, " ".join(f"w{draw.randrange(10**6)}" for _ in range(50)), "en", f"s{i % 3}", 0, i, str(i), -i, [i])
+        for i in range(12)
+    ]
+    schema = (
+        "doc_id long, text string, lang string, source string, n_chars long, _row long, "
+        "key string, number long, takes array<long>"
+    )
+    docs = spark.createDataFrame(rows + rows[:1], schema)
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.source_mix):
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns
+        for r in got.collect():
+            assert (r._row, r.key, r.number, r.takes) == (r.doc_id, str(r.doc_id), -r.doc_id, [r.doc_id])
+    assert corpus_pipeline.near_duplicates(spark, docs, "").count() == 12
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0
