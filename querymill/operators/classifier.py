@@ -26,6 +26,8 @@ INVERSE_PENALTY = 1.23456
 MAX_ITERATIONS = 987
 N_FEATURES = 4
 
+REPEATS = 8  # rows for each distinct one, from which equal rows are joined before a fit
+
 
 def train_classifier(
     df: DataFrame,
@@ -44,18 +46,24 @@ def train_classifier(
     1 / (inverse_penalty * rows) on unscaled features.
 
     A label column with more than ``max_classes`` values is refused: their counts and
-    weights come to the driver. One pass counts the rows per class; the fit is then a series of distributed
-    aggregations over a copy that Spark keeps in memory and on disk. Only class
-    counts and weights come to the driver.
+    weights come to the driver. One pass counts the rows per class; the fit is then a series
+    of distributed aggregations over a copy that Spark keeps in memory and on disk. Where
+    the first pass finds few distinct rows, equal ones are one row with a weight, which
+    gives the same sums. Only class counts and weights come to the driver.
     """
     features = df.columns[:n_features]
+    distinct = F.approx_count_distinct(F.xxhash64(*[F.col(f"`{c}`") for c in features]))
     per_class = materialize(
-        df.groupBy(F.col(f"`{label}`").cast("string").alias("label")).count(), "classes"
+        df.groupBy(F.col(f"`{label}`").cast("string").alias("label")).agg(
+            F.count("*").alias("count"), distinct.alias("distinct")
+        ),
+        "classes",
     )
     n_classes = per_class.where("label IS NOT NULL").count()
     if not 2 <= n_classes <= max_classes:
         raise ValueError(f"{label} has {n_classes} classes, need 2 to {max_classes}")
-    counts = {row["label"]: row["count"] for row in per_class.collect()}
+    found = per_class.collect()
+    counts = {row["label"]: row["count"] for row in found}
     if None in counts:
         raise ValueError(f"{label} has missing values")
     classes = sorted(counts)
@@ -80,8 +88,13 @@ def train_classifier(
         tol=tolerance,
     )
     text = F.col(f"`{label}`").cast("string").alias("_label_text")
-    rows = indexer.transform(assembler.transform(df.select(*features, text)))
-    fitted = regression.fit(rows.select("_features", "_label"))
+    labelled = df.select(*[F.col(f"`{c}`") for c in features], text)
+    if REPEATS * sum(row["distinct"] for row in found) < sum(counts.values()):
+        regression.setWeightCol("_weight")
+        named = [F.col(f"`{c}`") for c in labelled.columns]
+        labelled = labelled.groupBy(*named).agg(F.count("*").cast("double").alias("_weight"))
+    rows = indexer.transform(assembler.transform(labelled))
+    fitted = regression.fit(rows.drop(*features, "_label_text"))
     stages = [
         assembler,
         fitted,

@@ -48,6 +48,12 @@ _NEAREST_WHOLE = f"""
         SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY square, nearest_id) AS place
         FROM ranked)"""
 
+_LATEST = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+              ORDER BY o_orderdate DESC, o_orderkey DESC) AS place FROM orders)
+    WHERE place = 1"""
+
 _MODELS = """
     models AS (
         SELECT c_mktsegment AS model_group,
@@ -98,11 +104,8 @@ ORACLE: dict[str, str] = {
     "drop_label": "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
     "prediction_only": "SELECT doc_id, quality AS predicted_score FROM labels",
     "head_by_key": "SELECT * FROM customer ORDER BY c_custkey LIMIT 5",
-    "latest_per_key": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
-                  ORDER BY o_orderdate DESC, o_orderkey DESC) AS place FROM orders)
-        WHERE place = 1""",
+    "latest_per_key": _LATEST,
+    "incremental_latest": _LATEST,
     "distributed_together": f"""
         SELECT year, month, count(*) AS n_rows, cast(1 AS bigint) AS n_tasks
         FROM ({_DATE_PARTS}) GROUP BY year, month""",
@@ -197,6 +200,9 @@ ORACLE: dict[str, str] = {
         SELECT label, round(sum(x0), 2) AS sum_x0, round(sum(x1), 2) AS sum_x1,
                round(sum(x2), 2) AS sum_x2, round(sum(x3), 2) AS sum_x3
         FROM points GROUP BY label""",
+    "stream_scores": "SELECT o_orderkey, o_orderpriority AS predicted_score FROM orders",
+    "interleaved_layout": """
+        SELECT * FROM lineitem WHERE l_shipdate >= timestamp '1997-01-01' AND l_partkey % 7 < 5""",
     "train_and_score": "SELECT o_orderkey, o_orderpriority AS predicted_score FROM orders",
     "batch_score": "SELECT o_orderkey, o_orderpriority AS predicted_score FROM orders",
     "insert_if_absent": """

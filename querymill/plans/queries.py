@@ -28,12 +28,14 @@ from querymill.plans import jobs
 from querymill.plans.sql_datasets import SQL_DATASETS, SqlDataset
 from querymill.session import fresh_path, materialize
 from querymill.sinks import files as file_sinks
+from querymill.sinks import latest as latest_sinks
 from querymill.sinks import registry as registry_sinks
 from querymill.sinks import versions as version_sinks
 from querymill.sources import files, tables
 from querymill.sources import registry as registry_sources
 from querymill.sources import versions as version_sources
 from querymill.sources.query import query_dataset
+from querymill.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -200,6 +202,16 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limits.latest_per_key(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
+def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest order of each customer, kept up to date over three batches."""
+    orders = _table(spark, sf_dir, "orders")
+    path = fresh_path(spark, "latest")
+    for part in range(3):
+        batch = orders.where(F.col("o_orderkey") % 3 == part)
+        latest_sinks.merge_latest(path, batch, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return latest_sinks.read_latest(spark, path, orders.schema)
+
+
 def ordered_half(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The half of all lines that cost most."""
     lines = _table(spark, sf_dir, "lineitem")
@@ -339,6 +351,15 @@ def bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def interleaved_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines laid out by ship date and part together, and those of two ranges read back."""
+    lines = _table(spark, sf_dir, "lineitem")
+    path = fresh_path(spark, "lines")
+    file_sinks.write_parquet(layout.interleaved(lines, ["l_shipdate", "l_partkey"]), path)
+    stored = files.scan_parquet(spark, path, schema=lines.schema)
+    return stored.where("l_shipdate >= timestamp_ntz'1997-01-01 00:00:00' AND l_partkey % 7 < 5")
+
+
 # ---------------------------------------------------------------- query datasets
 
 
@@ -671,6 +692,29 @@ def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_parquet(spark, scored)
 
 
+def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders scored as they arrive, in two lots; a third call finds nothing new."""
+    rows = _priorities(spark, sf_dir)
+    model = _priority_model(rows)
+    arriving, scored, state = (fresh_path(spark, n) for n in ("arriving", "scored", "state"))
+    for odd in (0, 1, None):
+        if odd is not None:
+            lot = rows.where(F.col("o_orderkey") % 2 == odd)
+            file_sinks.write_parquet(lot, arriving, mode="append")
+        scoring.score_arrivals(
+            spark,
+            model,
+            arriving,
+            scored,
+            state,
+            rows.schema,
+            key_cols=["o_orderkey"],
+            label="o_orderpriority",
+        )
+    schema = classifier.predict(model, rows, ["o_orderkey"], "o_orderpriority").schema
+    return scoring.read_scores(spark, scored, schema).drop("batch")
+
+
 # ---------------------------------------------------------------- registry
 
 
@@ -808,6 +852,7 @@ QUERIES: dict[str, Query] = {
         prediction_only,
         head_by_key,
         latest_per_key,
+        incremental_latest,
         ordered_half,
         ordered_half_ties,
         asof_previous_event,
@@ -820,6 +865,7 @@ QUERIES: dict[str, Query] = {
         pruned_partition,
         replaced_partition,
         bounded_files,
+        interleaved_layout,
         query_roundtrip,
         ctas_roundtrip,
         csv_roundtrip,
@@ -847,6 +893,7 @@ QUERIES: dict[str, Query] = {
         fitted_feature_sums,
         train_and_score,
         batch_score,
+        stream_scores,
         insert_if_absent,
         register_groups,
         groups_deduplicated,

@@ -34,6 +34,16 @@ CSV_DIALECT = {
 OWN_CSV = {"nullValue": "\\N", "lineSep": "\n"}
 
 
+def reader_options(fmt: str, multiline: bool = True, own_csv: bool = False) -> dict[str, str]:
+    """Options of a reader with a schema, for scans and streams alike."""
+    options = {"mode": "FAILFAST"} if fmt in ("csv", "json") else {}
+    if fmt == "csv":
+        options |= CSV_DIALECT | {"multiLine": str(multiline).lower(), "enforceSchema": "false"}
+        if own_csv:
+            options |= OWN_CSV
+    return options
+
+
 def reader_for(
     spark: SparkSession,
     fmt: str,
@@ -46,15 +56,9 @@ def reader_for(
     ``own_csv`` is for CSV files the version sink wrote; what it reads has to go through
     ``without_backslash``. In other CSV files an empty field is a NULL, quoted or not.
     """
-    reader = spark.read.format(fmt)
-    if fmt in ("csv", "json"):
-        reader = reader.option("mode", "FAILFAST")
+    reader = spark.read.format(fmt).options(**reader_options(fmt, multiline, own_csv))
     if fmt == "csv":
-        reader = reader.options(**CSV_DIALECT).options(
-            multiLine=multiline, enforceSchema=False, inferSchema=schema is None
-        )
-        if own_csv:
-            reader = reader.options(**OWN_CSV)
+        reader = reader.option("inferSchema", schema is None)
     return reader if schema is None else reader.schema(schema)
 
 

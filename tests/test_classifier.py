@@ -200,3 +200,17 @@ def test_null_split_key_stops(spark):
     df = spark.createDataFrame([(1,), (None,)], "k int")
     with pytest.raises(Exception, match="missing value"):
         train_test_split(df, "k")[0].collect()
+
+
+def test_equal_rows_are_joined_before_a_fit(spark, monkeypatch):
+    """Few distinct rows, many times each: the same weights as from all rows."""
+    from querymill.operators import classifier
+
+    rows = [(float(i % 3), float(i % 5), "abc"[(i % 3 + i % 5) % 3 if i % 7 else 0]) for i in range(400)]
+    df = spark.createDataFrame(rows, "x1 double, x2 double, species string")
+    joined = classifier.train_classifier(df, n_features=2).stages[1]
+    assert joined.getWeightCol() == "_weight"
+    monkeypatch.setattr(classifier, "REPEATS", 10**9)
+    whole = classifier.train_classifier(df, n_features=2).stages[1]
+    gap = joined.coefficientMatrix.toArray() - whole.coefficientMatrix.toArray()
+    assert abs(gap).max() < 1e-5
