@@ -223,6 +223,8 @@ ORACLE: dict[str, str] = {
         FROM models""",
     "approve_event": f"""
         WITH {_MODELS} SELECT model_package_arn, approval_status FROM models""",
+    "registry_compacted": f"""
+        WITH {_MODELS} SELECT model_package_arn, approval_status FROM models""",
     "registry_pending": f"""
         WITH {_MODELS} SELECT model_package_arn, approval_status FROM models
         WHERE approval_status = 'PendingManualApproval'""",

@@ -778,6 +778,18 @@ def approve_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.package_status(registry_sources.read_packages(spark, root))
 
 
+def registry_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States after an approval, from those stored before it and the rows since."""
+    root = fresh_path(spark, "registry")
+    registry_sinks.create_registry(spark, root)
+    models = _order_models(spark, sf_dir)
+    registry_sinks.append_packages(root, registry.new_packages(models, MODEL_URL))
+    registry_sinks.compact_packages(spark, root)
+    closed = registry.new_packages(models.where("o_orderstatus = 'F'"), MODEL_URL)
+    registry_sinks.approve(spark, root, closed.select("model_package_arn"))
+    return registry.package_status(registry_sources.read_recent(spark, root))
+
+
 def registry_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.pending(_packages(spark, sf_dir))
 
@@ -899,6 +911,7 @@ QUERIES: dict[str, Query] = {
         groups_deduplicated,
         register_packages,
         approve_event,
+        registry_compacted,
         registry_pending,
         registry_status,
         approved_latest,

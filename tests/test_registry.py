@@ -175,3 +175,39 @@ def test_settings_grow_with_the_input():
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert int(large["spark.sql.shuffle.partitions"]) * 256 * 1024**2 >= 0.99 * 10**14
     assert int(large["spark.sql.files.maxPartitionBytes"]) > int(small["spark.sql.files.maxPartitionBytes"])
+
+
+def test_files_read_do_not_grow_with_history(spark, root):
+    from datetime import datetime, timedelta
+
+    from querymill.operators.registry import PACKAGES, package_status
+    from querymill.sinks.registry import append_packages, compact_packages, create_registry
+    from querymill.sources.registry import read_packages, read_recent
+
+    create_registry(spark, root)
+    start = datetime(2024, 1, 1)
+
+    def append(n, states, at):
+        rows = [("g", str(i), f"p{i}", "u", "", s, at) for i, s in zip(range(n), states, strict=True)]
+        append_packages(root, spark.createDataFrame(rows, PACKAGES).coalesce(1))
+
+    def same():
+        recent, whole = read_recent(spark, root), read_packages(spark, root)
+        assert recent.schema == whole.schema
+        found = sorted(map(tuple, package_status(recent).collect()))
+        assert found == sorted(map(tuple, package_status(whole).collect()))
+        return len(recent.inputFiles())
+
+    same()
+    read = []
+    for turn in range(3):
+        for n in range(4):
+            state = ["PendingManualApproval", "Approved", "Rejected"][(turn + n) % 3]
+            append(6, [state] * 6, start + timedelta(days=10 * turn + n))
+        same()
+        assert compact_packages(spark, root) is not None
+        assert compact_packages(spark, root) is None
+        append(2, ["Approved", "Rejected"], start)  # late: changes nothing
+        read.append(same())
+    assert len(read_packages(spark, root).inputFiles()) > 14
+    assert max(read) == min(read) <= 10
