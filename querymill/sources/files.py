@@ -111,7 +111,7 @@ def scan_parquet(
 def _load_csv(
     spark: SparkSession,
     paths: list[str],
-    schema: StructType | None,
+    schema: StructType | str | None,
     multiline: bool,
     own_csv: bool,
     recursive: bool,
@@ -119,8 +119,11 @@ def _load_csv(
 ) -> DataFrame:
     reader = reader_for(spark, "csv", schema, multiline, own_csv)
     plain = reader.option("recursiveFileLookup", recursive).load(paths)
+    if schema is None or not multiline:
+        return plain
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     # Columns from directory names are Spark's scan's alone.
-    if schema is None or not multiline or plain.columns != schema.fieldNames():
+    if plain.columns != schema.fieldNames():
         return plain
     options = CSV_DIALECT | (OWN_CSV if own_csv else {})
     return scan_csv_ranges(
