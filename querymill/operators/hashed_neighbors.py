@@ -26,6 +26,8 @@ from querymill.session import materialize
 SAMPLE_ROWS = 400  # whose true neighbours are looked for among all points
 SAMPLE_POINTS = 2000  # to which these rows' distances are taken
 MAX_TABLES = 128
+# Comparisons that take as long as sending a row to one more table does.
+TABLE_WORK = 4000
 MAX_PROJECTIONS = 24
 CHUNK_ROWS = 4096
 
@@ -53,7 +55,7 @@ def calibrated(near: np.ndarray, far: np.ndarray, size: int, recall: float) -> H
     """The hashing with least work whose expected recall is at least ``recall``.
 
     ``near``: distances of rows to their true neighbours; ``far``: to points at large. Work
-    is a hash for each table and a comparison for each candidate.
+    is a trip through the shuffle for each table and a comparison for each candidate.
     """
     scale = float(np.median(near[near > 0])) if (near > 0).any() else float(np.median(far)) or 1.0
     best: Hashing | None = None
@@ -66,7 +68,7 @@ def calibrated(near: np.ndarray, far: np.ndarray, size: int, recall: float) -> H
             for tables in range(1, MAX_TABLES + 1):
                 found = 1 - float((miss**tables).mean())
                 if found >= recall:
-                    work = tables * (50 + share * size)
+                    work = tables * (TABLE_WORK + share * size)
                     if work < least:
                         least = work
                         best = Hashing(factor * scale, k, tables, found, tables * share)

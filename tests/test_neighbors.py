@@ -218,9 +218,9 @@ def test_hashed_neighbors(spark, kind):
 def test_less_is_compared_where_neighbours_are_near():
     rng = np.random.default_rng(3)
     near, far = rng.uniform(0.1, 0.3, 300), rng.uniform(4, 8, (300, 500))
-    easy = hashed_neighbors.calibrated(near, far, 1_000_000, 0.95)
+    easy = hashed_neighbors.calibrated(near, far, 10**9, 0.95)
     assert easy.recall >= 0.95 and easy.share < 0.001
-    hard = hashed_neighbors.calibrated(far[:, 0] * 0.9, far, 1_000_000, 0.95)
+    hard = hashed_neighbors.calibrated(far[:, 0] * 0.9, far, 10**9, 0.95)
     assert hard.share > easy.share
     with pytest.raises(ValueError, match="recall"):
         hashed_neighbors.calibrated(near, far, 10, 2.0)
