@@ -45,7 +45,7 @@ class Hashing:
 
 def collision(distance: np.ndarray, width: float) -> np.ndarray:
     """Chance that one projection puts two points at ``distance`` into one cell."""
-    ratio = np.minimum(width / np.maximum(distance, 1e-300), 1e9)
+    ratio = np.minimum(width / np.maximum(distance, 1e-300), 1e150)
     normal = np.array([math.erfc(r / math.sqrt(2)) for r in ratio.ravel()]).reshape(ratio.shape)
     rest = (1 - np.exp(-(ratio**2) / 2)) * 2 / (math.sqrt(2 * math.pi) * ratio)
     return np.clip(1 - normal - rest, 0.0, 1.0)
