@@ -422,8 +422,8 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     other place, of the same text or another one; overlapping strings count, strings
     never run across texts, and all are judged on the input.
 
-    Returns doc_id, n_bytes, n_removed, n_spans (longest runs of removed bytes) and
-    kept_sha256 of the bytes that are left. A NULL text is an empty one; texts shorter
+    Returns doc_id, n_bytes, n_removed, n_spans (longest runs of removed bytes),
+    kept_sha256 of the bytes that are left, and whether any byte goes (repeats). A NULL text is an empty one; texts shorter
     than ``length`` stay as they are. Two rows with one text are two places, with one
     doc_id as well. Rows neither merge nor change places.
     """
@@ -487,15 +487,14 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "cut",
     )
     copied = F.col("n_copies") > 1
+    gone = F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0)))
     return rows.join(by_text, "sha", "left").select(
         "doc_id",
         "n_bytes",
-        F.when(copied, F.col("n_bytes"))
-        .otherwise(F.coalesce("n_removed", F.lit(0)))
-        .cast("long")
-        .alias("n_removed"),
+        gone.cast("long").alias("n_removed"),
         F.when(copied, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(copied, F.sha2(F.lit("").cast("binary"), 256))
         .otherwise(F.coalesce("kept_sha256", "sha"))
         .alias("kept_sha256"),
+        (gone > 0).alias("repeats"),
     )
