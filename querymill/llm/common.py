@@ -28,6 +28,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def drawn(rows: DataFrame, wanted: Column, h: Column, n: int) -> DataFrame:
+    """``wanted`` rows whose hash ``h`` (64 bits) lies in a range that holds about the ``2 n``
+    least of theirs; all of them, if there are few.
+
+    For a sample of ``n``: the range needs one number from a pass over the hashes, and only
+    what lies in it is gathered.
+    """
+    distinct = rows.where(wanted).agg(F.approx_count_distinct(h, 0.05)).first()[0]
+    share = 2 * n / max(distinct, 1)
+    # The hash first: it is cheaper than what is wanted.
+    return rows.where(wanted if share >= 1 else (h <= int(-(2**63) + share * 2**64)) & wanted)
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Groups of two rows or more, of rows that come sorted by integer keys."""
     rest: pa.Table | None = None

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from querymill.llm.common import drawn
+
 # Bounds of the training sample, drawn by hash of page_id.
 TRAINING_PAGES = 300
 TRAINING_CHARS = 20_000  # longer pages are not drawn
@@ -36,7 +38,10 @@ _TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 _NAME = re.compile(r"</?\s*([a-zA-Z][a-zA-Z0-9-]*)")
-_CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*[\"']?([^\"'>]*)", re.IGNORECASE)
+_ATTRIBUTE = re.compile(
+    r"([^\s\"'<>/=]+)\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+))", re.IGNORECASE
+)
+_KIND = ("class", "id", "role")  # attributes that say what an element is for
 
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt"
@@ -71,12 +76,22 @@ _ENDED_BY = {
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
+def _kind(attributes: str) -> str:
+    """Values of class, id and role, in this order."""
+    if "=" not in attributes:
+        return ""
+    given: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        given.setdefault(name.lower(), "".join(values))
+    return " ".join([given[k] for k in _KIND if given.get(k)])
+
+
 class Page:
     """Text pieces of a page and the tags between them."""
 
     def __init__(self, source: str) -> None:
         self.texts: list[str] = []  # decoded, piece k stands before tag k
-        self.tags: list[tuple[str, str]] = []  # name, with / if it closes; class
+        self.tags: list[tuple[str, str]] = []  # name, with / if it closes; class, id, role
         at, piece = 0, []
         for match in _TOKEN.finditer(source):
             piece.append(source[at : match.start()])
@@ -89,9 +104,8 @@ class Page:
                 continue
             self.texts.append(html.unescape("".join(piece)))
             piece = []
-            kind = _CLASS.search(token)
             self.tags.append(
-                ("/" * token.startswith("</") + name.group(1).lower(), kind.group(1) if kind else "")
+                ("/" * token.startswith("</") + name.group(1).lower(), _kind(token[name.end() :]))
             )
         piece.append(source[at:])
         self.texts.append(html.unescape("".join(piece)))
@@ -285,11 +299,17 @@ def fit(pages: list[str]) -> Scores:
 
 
 def train(pages: DataFrame) -> Scores:
-    """Scores from a bounded sample of ``pages(page_id, html)`` that mark their article."""
+    """Scores from a bounded sample of ``pages(page_id, html)`` that mark their article.
+
+    ``TRAINING_PAGES`` pages of at most ``TRAINING_CHARS`` characters, drawn by hash; no
+    others come to the driver, but for as many again.
+    """
     source = F.col("html").cast("string")
+    h = F.xxhash64("page_id", source)
+    marked = (F.length(source) <= TRAINING_CHARS) & source.rlike(r"(?i)<(article|main)[\s>]")
     rows = (
-        pages.where(source.rlike(r"(?i)<(article|main)[\s>]") & (F.length(source) <= TRAINING_CHARS))
-        .select(F.xxhash64("page_id", source).alias("h"), source.alias("html"))
+        drawn(pages, marked, h, TRAINING_PAGES)
+        .select(h.alias("h"), source.alias("html"))
         .orderBy("h", "html")
         .limit(TRAINING_PAGES)
         .collect()
@@ -308,9 +328,9 @@ def extract(pages: DataFrame, scores: Scores, keep: list[str]) -> DataFrame:
 
     Character references are decoded, white space within and between blocks becomes
     one blank, the ends are trimmed; scripts, styles, comments and elements that are no
-    article text (menus, forms, adverts) are left out, formulas are text. NULL and empty pages, and pages
-    without words, have an empty text. Rows neither merge nor change places; a column
-    of ``pages`` called like a result is replaced.
+    article text (menus, forms, adverts) are left out, formulas are text. NULL and empty
+    pages, and pages without words, have an empty text. Rows neither merge nor change
+    places; a column of ``pages`` called like a result is replaced.
     """
     shared = pages.sparkSession.sparkContext.broadcast(scores)
     keep = [c for c in keep if c not in ("text", "n_chars")]

@@ -4,8 +4,9 @@ The tagger is a bidirectional LSTM over characters with CRF transitions between
 trained here in numpy. Its labelled spans are what the patterns find in a bounded
 sample of documents, as they are and rewritten (a phone number without its plus sign, a
 card number in groups, an address with blanks about the @). Every place of a text that
-could belong to a span is covered by overlapping windows; each is decoded by itself,
-and each place takes its tag from the window that holds it nearest to the middle.
+could belong to a span is covered by overlapping windows; each place takes its tag
+scores from the window that holds it nearest to the middle, and one pass of Viterbi over
+the whole stretch finds its best tags.
 """
 
 from __future__ import annotations
@@ -14,19 +15,24 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from querymill.llm.common import drawn
+
 KINDS = ("email", "ip", "card", "phone")  # fixed values, in this order
 
 # Bounds of the training sample, drawn by hash of doc_id.
 TRAINING_DOCUMENTS = 600
-TRAINING_WINDOWS = 1000
+TRAINING_STRETCHES = 8
+TRAINING_WINDOWS = 3000
+SPELLINGS = 4  # of each labelled span
 EPOCHS = 8
-BATCH = 64
+BATCH = 128
 
 WINDOW = 96  # characters decoded together
 STRIDE = 48
@@ -231,21 +237,25 @@ class Tagger:
         self._back(codes, "b", two, down[:, :, HIDDEN : 2 * HIDDEN], out)
         return float(loss / n), out
 
-    def decode(self, codes: np.ndarray) -> np.ndarray:
-        """Best tags of each window (Viterbi), time first."""
-        scores, _, _ = self.emissions(codes)
-        change, best = self.weights["t"], scores[0]
-        came = np.zeros(scores.shape, np.int8)
+    def decode(self, stretches: list[np.ndarray]) -> list[np.ndarray]:
+        """Best tags of each stretch of tag scores (Viterbi)."""
+        change, sizes = self.weights["t"], np.array([len(s) for s in stretches])
+        scores = np.zeros((sizes.max(), len(sizes), change.shape[0]))
+        for n, s in enumerate(stretches):
+            scores[: len(s), n] = s
+        best, came = scores[0], np.zeros(scores.shape, np.int8)
+        came[:] = np.arange(change.shape[0])  # past a stretch's end nothing changes
         for t in range(1, len(scores)):
-            ways = best[:, :, None] + change
-            came[t] = ways.argmax(axis=1)
-            best = ways.max(axis=1) + scores[t]
-        tags = np.zeros(codes.shape, np.int8)
+            on = np.flatnonzero(sizes > t)
+            ways = best[on, :, None] + change
+            came[t, on] = ways.argmax(axis=1)
+            best[on] = ways.max(axis=1) + scores[t, on]
+        tags = np.zeros(scores.shape[:2], np.int8)
         tags[-1] = best.argmax(axis=1)
-        every = np.arange(codes.shape[1])
+        every = np.arange(len(sizes))
         for t in range(len(scores) - 1, 0, -1):
             tags[t - 1] = came[t][every, tags[t]]
-        return tags
+        return [tags[:size, n] for n, size in enumerate(sizes)]
 
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -297,8 +307,10 @@ def training_windows(texts: list[str], seed: int) -> tuple[np.ndarray, np.ndarra
             low = max([start - WINDOW, 0, *[e for _, _, e in spans[:k]]])
             high = min([end + WINDOW, len(text), *[s for s, _, _ in spans[k + 1 :]]])
             if low <= start and end <= high and end - start < WINDOW:
-                new = _rewritten(text[start:end], kind, draw)
-                add(text[low:start], new, text[end:high], kind)
+                for _ in range(SPELLINGS):
+                    new = _rewritten(text[start:end], kind, draw)
+                    if len(new) < WINDOW:
+                        add(text[low:start], new, text[end:high], kind)
         taken = np.zeros(len(text), bool)
         for start, _, end in spans:
             taken[start:end] = True
@@ -402,16 +414,14 @@ def added_spans(texts: list[str], bases: list[list[Span]], tagger: Tagger) -> li
                 row[: len(piece)] = piece
                 rows.append(row)
                 places.append((n, at, len(piece)))
-        tags = np.concatenate(
-            [
-                tagger.decode(np.array(rows[i : i + WINDOWS_AT_ONCE]).T).T
-                for i in range(0, len(rows), WINDOWS_AT_ONCE)
-            ]
-        )
-        whole = [np.zeros(high - low, np.int8) for _, low, high in pending]
+        scores = [
+            tagger.emissions(np.array(rows[i : i + WINDOWS_AT_ONCE]).T)[0].transpose(1, 0, 2)
+            for i in range(0, len(rows), WINDOWS_AT_ONCE)
+        ]
+        whole = [np.zeros((high - low, scores[0].shape[2])) for _, low, high in pending]
         near = [np.full(high - low, -1) for _, low, high in pending]
         inner = np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])
-        for (n, at, size), row in zip(places, tags, strict=True):
+        for (n, at, size), row in zip(places, chain.from_iterable(scores), strict=True):
             depth = inner[:size].copy()
             if at == 0:
                 depth[: WINDOW // 2] = WINDOW
@@ -420,12 +430,14 @@ def added_spans(texts: list[str], bases: list[list[Span]], tagger: Tagger) -> li
             better = depth > near[n][at : at + size]
             whole[n][at : at + size][better] = row[:size][better]
             near[n][at : at + size][better] = depth[better]
-        for (t, low, _), row in zip(pending, whole, strict=True):
-            for start, kind, end in _runs(row):
-                span = (low + start, kind, low + end)
-                free = all(span[2] <= s or e <= span[0] for s, _, e in bases[t])
-                if free and _acceptable(texts[t], kind, span[0], span[2]):
-                    found[t].append(span)
+        for some in _of_similar_size([len(s) for s in whole]):
+            for n, row in zip(some, tagger.decode([whole[n] for n in some]), strict=True):
+                t, low, _ = pending[n]
+                for start, kind, end in _runs(row):
+                    span = (low + start, kind, low + end)
+                    free = all(span[2] <= s or e <= span[0] for s, _, e in bases[t])
+                    if free and _acceptable(texts[t], kind, span[0], span[2]):
+                        found[t].append(span)
         pending.clear()
 
     size = 0
@@ -441,6 +453,19 @@ def added_spans(texts: list[str], bases: list[list[Span]], tagger: Tagger) -> li
     return found
 
 
+def _of_similar_size(sizes: list[int]) -> Iterator[list[int]]:
+    """Places of ``sizes``, dealt out so that little room is left when all of a deal are
+    filled up to the largest."""
+    deal: list[int] = []
+    for n in sorted(range(len(sizes)), key=sizes.__getitem__):
+        if deal and (len(deal) + 1) * sizes[n] > max(WINDOWS_AT_ONCE * WINDOW, sizes[n]):
+            yield deal
+            deal = []
+        deal.append(n)
+    if deal:
+        yield deal
+
+
 def _runs(tags: np.ndarray) -> Iterator[Span]:
     """Spans of tags: a kind's tags in a row; a begin tag starts anew."""
     start, kind = -1, -1
@@ -458,15 +483,22 @@ def _runs(tags: np.ndarray) -> Iterator[Span]:
 def train(docs: DataFrame) -> Tagger | None:
     """A tagger from ``docs(doc_id, text)``.
 
-    At most ``TRAINING_DOCUMENTS`` documents that hold an @, or digits in number, are
-    drawn by hash of their text; only stretches about digits and @ come to the driver.
+    At most ``TRAINING_DOCUMENTS`` texts that hold an @, or digits in number, are drawn by
+    hash, equal ones once. Of each, at most ``TRAINING_STRETCHES`` stretches about digits
+    and @ come to the driver, up to 100 characters before and 160 after, within a line:
+    windows are of ``WINDOW`` characters, and a sample needs no more of them. That bounds
+    the training only; ``find`` reads whole texts.
     """
     text = F.col("text").cast("string")
     about = F.regexp_extract_all(text, F.lit(r"[^\n]{0,100}[0-9@][^\n]{0,160}"), F.lit(0))
+    holding = text.rlike(r"@|\+[0-9]|[0-9]{6}|[0-9]\.[0-9]+\.")
+    h = F.xxhash64(text)
     rows = (
-        docs.where(text.rlike(r"@|\+[0-9]|[0-9]{6}|[0-9]\.[0-9]+\."))
-        .select(F.xxhash64(text).alias("h"), F.slice(about, 1, 8).alias("about"))
-        .orderBy("h", "about")
+        drawn(docs, holding, h, TRAINING_DOCUMENTS)
+        .select(h.alias("h"), F.slice(about, 1, TRAINING_STRETCHES).alias("about"))
+        .groupBy("h")
+        .agg(F.min("about").alias("about"))
+        .orderBy("h")
         .limit(TRAINING_DOCUMENTS)
         .collect()
     )

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -158,8 +160,12 @@ def test_tagger_adds_other_spellings_and_leaves_the_rest(spark):
 class _MarksAll:
     """Takes all it is shown for one address."""
 
-    def decode(self, codes):
-        return np.where(np.asarray(codes) == pii._PAD, 0, 2)
+    def emissions(self, codes):
+        marked = np.where(np.asarray(codes) == pii._PAD, 0, 2)
+        return np.eye(pii.TAGS)[marked], None, None
+
+    def decode(self, stretches):
+        return [s.argmax(axis=1) for s in stretches]
 
 
 @pytest.mark.parametrize("local", [10, 40, 130])
@@ -181,3 +187,114 @@ def test_every_good_document_is_in_the_target(spark, monkeypatch):
     assert len(got) == 40
     weight = {r.doc_id: r.log_weight for r in got}
     assert min(weight[i] for i in range(20)) > 0 > max(weight[i] for i in range(20, 40))
+
+
+def test_log_weights_equal_counting_by_hand(spark):
+    """Both models and every weight on a whole table, n-gram by n-gram in plain Python."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    good = {r.doc_id for r in labels.collect() if r.quality == 1}
+
+    def ngrams(text):
+        h = [zlib.crc32(w.encode()) for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+        for x in h:
+            yield x % resampling.BUCKETS
+        for x, y in zip(h, h[1:]):
+            z = (x * 2654435761 + y * 40503 + 1) % 2**64
+            yield (z ^ z >> 29) % resampling.BUCKETS
+
+    raw, target = [0] * resampling.BUCKETS, [0] * resampling.BUCKETS
+    for i, text in texts.items():
+        for g in ngrams(text):
+            raw[g] += 1
+            target[g] += i in good
+    n, m = sum(raw) + resampling.BUCKETS, sum(target) + resampling.BUCKETS
+    p = [(x + 1) / n for x in raw]
+    ratio = [np.log((t + q * resampling.BUCKETS) / m / q) for t, q in zip(target, p)]
+    got = {r.doc_id: r for r in resampling.resample(docs, labels).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        assert abs(got[i].log_weight - sum(ratio[g] for g in ngrams(text))) < 1e-6 * (1 + len(text))
+    k = round(len(texts) * sum(r.quality == 1 for r in labels.collect()) / labels.count())
+    keys = sorted((r.key for r in got.values()), reverse=True)
+    assert all(r.kept == (r.key >= keys[k - 1]) for r in got.values())
+
+
+def test_gradient_and_best_tags_equal_enumeration(monkeypatch):
+    monkeypatch.setattr(pii, "TAGS", 3)
+    monkeypatch.setattr(pii, "HIDDEN", 3)
+    tagger = pii.Tagger.fresh(4)
+    draw = np.random.default_rng(5)
+    tagger.weights["t"] = draw.normal(0, 1, (3, 3))
+    codes, tags = draw.integers(0, 9, (5, 2)), draw.integers(0, 3, (5, 2))
+
+    def total(scores, path):
+        change = tagger.weights["t"]
+        moves = sum(change[a, b] for a, b in zip(path, path[1:]))
+        return sum(scores[t, x] for t, x in enumerate(path)) + moves
+
+    def loss():
+        scores = tagger.emissions(codes)[0]
+        sums = [
+            np.log(sum(np.exp(total(scores[:, k], p)) for p in paths)) - total(scores[:, k], tags[:, k])
+            for k in range(2)
+        ]
+        return sum(sums) / 2
+
+    paths = list(itertools.product(range(3), repeat=5))
+    found, slope = tagger.gradient(codes, tags)
+    assert abs(found - loss()) < 1e-9
+    for name, w in tagger.weights.items():
+        for at in [tuple(draw.integers(0, n) for n in w.shape) for _ in range(6)]:
+            w[at] += 1e-5
+            up = loss()
+            w[at] -= 2e-5
+            down = loss()
+            w[at] += 1e-5
+            assert abs((up - down) / 2e-5 - slope[name][at]) < 1e-6, name
+    scores = tagger.emissions(codes)[0]
+    best = tagger.decode([scores[:, 0], scores[:3, 1], scores[:, 1]])
+    for found, (k, n) in zip(best, [(0, 5), (1, 3), (1, 5)], strict=True):
+        ways = itertools.product(range(3), repeat=n)
+        assert tuple(found) == max(ways, key=lambda p: total(scores[:n, k], p))
+
+
+def planted_forms(draw):
+    """Personal data in spellings that the patterns do not take, by form."""
+    digits = "".join(draw.choice("0123456789") for _ in range(10))
+    card = next(c for c in (f"4{digits}{draw.randrange(10**5):05d}" for _ in itertools.count()) if pii.luhn(c))
+    name = "".join(draw.choice("abcdefghijkl") for _ in range(draw.randint(4, 9)))
+    return {
+        "email, blanks": (0, f"{name}.{digits[:2]} @ mail{digits[2]}.example.com"),
+        "email, bracketed": (0, f"{name}(at)@mail{digits[2]}.example.com"),
+        "card, dots": (2, f"{card[:4]}.{card[4:8]}.{card[8:12]}.{card[12:]}"),
+        "phone, no plus": (3, f"({digits[:3]}) 555-{digits[3:7]}"),
+        "phone, hyphens": (3, f"{digits[:3]}-{digits[3:6]}-{digits[6:]}"),
+        "phone, dots (never taught)": (3, f"{digits[:3]}.{digits[3:6]}.{digits[6:]}"),
+    }
+
+
+def test_tagger_finds_planted_spellings_in_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("text IS NOT NULL")
+    tagger = pii.train(docs.where("doc_id % 4 <> 2"))
+    held = docs.where("doc_id % 4 = 2 AND length(text) > 200").orderBy("doc_id").limit(1200).collect()
+    draw, texts, planted = random.Random(8), [], []
+    for n, r in enumerate(held):
+        words = r.text.split(" ")
+        at = draw.randrange(len(words))
+        lead = " ".join(words[:at] + [""]) if at else ""
+        form, (kind, span) = sorted(planted_forms(draw).items())[n % 6]
+        texts.append(f"{lead}{span} " + " ".join(words[at:]))
+        planted.append((form, (len(lead), kind, len(lead) + len(span))))
+    bases = [pii.base_spans(t) for t in texts]
+    added = pii.added_spans(texts, bases, tagger)
+    caught, asked, false = Counter(), Counter(), 0
+    for (form, span), more in zip(planted, added, strict=True):
+        asked[form] += 1
+        caught[form] += any(s < span[2] and span[0] < e and k == span[1] for s, k, e in more)
+        false += sum(not (s < span[2] and span[0] < e) for s, _, e in more)
+    share = {form: caught[form] / asked[form] for form in asked}
+    print(share, false, sum(map(len, added)))
+    assert false <= 0.02 * sum(map(len, added))
+    assert min(share[f] for f in share if "never" not in f) >= 0.8, share

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
@@ -167,3 +168,39 @@ def test_asides_without_an_end_tag():
     assert whole_text("<ul><li>a<li class=ad>b<ul><li>c</ul>d<li>e</ul>f") == "a e f"
     assert whole_text("<ul><li>a<li class=ad>b<p>c</ul>f") == "a f"
     assert whole_text("<div class=ad>a<div>b</div>c</div>d") == "d"
+
+
+def test_best_stretch_equals_trying_all():
+    draw = random.Random(21)
+    for _ in range(2000):
+        words = [draw.choice([0.0, 0.0, 0.5, 1.0, 4.0]) for _ in range(draw.randint(1, 9))]
+        tags = [draw.choice([-0.5, -1.0, -3.0]) for _ in words[1:]]
+        sums = {
+            (a, b): sum(words[a : b + 1]) + sum(tags[a:b])
+            for a in range(len(words))
+            for b in range(a, len(words))
+        }
+        found = html_text.best_stretch(words, tags)
+        if max(sums.values()) <= 0:
+            assert found is None
+        else:
+            assert sums[found] == max(sums.values())
+
+
+def test_attributes_are_whole_names_and_all_three_count():
+    scores = html_text.fit([PAGE.format(f" word {i}" * (1 + i % 5)) for i in range(30)])
+    many = " ".join(["one two three"] * 40)
+    body = f"<p>{many}</p><{{}}>buy now</{{}}><p>{many}</p>"
+    page = "<html><body><article>" + body + "</article></body></html>"
+    whole = f"{many} buy now {many}"
+    for opened, gone in {
+        'div id="x1" class="advert"': True,
+        "div class=box role=navigation": True,
+        "div data-x='1' id=sidebar": True,
+        'p data-id="ad"': False,
+        'p my-class="advert" title="class=advert"': False,
+        "p id=p1": False,
+    }.items():
+        name = opened.split()[0]
+        text = html_text.main_text(page.format(opened, name), scores)
+        assert text == (f"{many} {many}" if gone else whole), opened
