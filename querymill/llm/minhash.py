@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from math import comb
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ from querymill.session import materialize
 HASHES = 48
 MISSED = 1e-6  # chance that two documents just similar enough collide too rarely
 STAR_ROUNDS = 2
-FINE_HASHES = 1024  # of documents that are compared with many others
+FINE_HASHES = 2048  # a bit each, of documents that are compared with many others
 BLOCK = 1024  # documents of a key compared with as many others in one task
 
 _U64 = np.uint64
@@ -49,14 +49,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
-_SEEDS = _mix(np.arange(1, HASHES + FINE_HASHES + 1, dtype=_U64) * _U64(0x9E3779B97F4A7C15))
+_STEPS = np.arange(1, HASHES + FINE_HASHES + 1, dtype=_U64) * _U64(0x9E3779B97F4A7C15)
+_FACTORS = _mix(_STEPS) | _U64(1)
 
 
-def matches_for(percent: int, hashes: int = HASHES) -> int:
+def matches_for(percent: float, hashes: int = HASHES) -> int:
     """Most collisions that similar documents have but for a chance of ``MISSED``."""
     p, below = percent / 100, 0.0
+    if p >= 1:
+        return hashes
     for n in range(hashes):
-        below += comb(hashes, n) * p**n * (1 - p) ** (hashes - n)
+        ways = lgamma(hashes + 1) - lgamma(n + 1) - lgamma(hashes - n + 1)
+        below += exp(ways + n * log(p) + (hashes - n) * log(1 - p))
         if below > MISSED:
             return max(n, 1)
     return hashes
@@ -97,26 +101,38 @@ def shingle_set(text: str | None, width: int, words: _Words) -> np.ndarray:
     return np.unique(out)
 
 
-def _least_hashes(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    least = np.full(len(seeds), np.iinfo(_U64).max, _U64)
-    for at in range(0, len(shingles), 1024):
-        x = shingles[None, at : at + 1024] ^ seeds[:, None]
-        x ^= x >> _U64(32)
-        x *= _U64(0x9FB21C651E98DF25)
-        x ^= x >> _U64(28)
-        np.minimum(least, x.min(axis=1), out=least)
+def _least_hashes(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Least product with each odd factor; shingles are hashes already."""
+    least = np.full(len(factors), np.iinfo(_U64).max, _U64)
+    # Tiles that stay in a core's cache.
+    for k in range(0, len(factors), 64):
+        some = factors[k : k + 64, None]
+        for at in range(0, len(shingles), 512):
+            x = shingles[None, at : at + 512] * some
+            np.minimum(least[k : k + 64], x.min(axis=1), out=least[k : k + 64])
     return least
 
 
 def _signature(shingles: np.ndarray) -> np.ndarray:
     """Least hash under each function, with the function's number in the low bits."""
-    least = _least_hashes(shingles, _SEEDS[:HASHES])
+    least = _least_hashes(shingles, _FACTORS[:HASHES])
     return (least & ~_U64(63)) | np.arange(HASHES, dtype=_U64)
 
 
 def _fine_signature(shingles: np.ndarray) -> bytes:
-    """A byte of the least hash under each of the further functions."""
-    return (_least_hashes(shingles, _SEEDS[HASHES:]) >> _U64(20)).astype(np.uint8).tobytes()
+    """A bit of the least hash under each of the further functions."""
+    least = _least_hashes(shingles, _FACTORS[HASHES:])
+    return np.packbits((least >> _U64(32)).astype(np.uint8) & 1).tobytes()
+
+
+def _bits_apart(some: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Differing bits of each column of ``some`` and each of ``words``, 64 to a row."""
+    apart = np.zeros((some.shape[1], words.shape[1]), np.uint16)
+    both = np.empty(apart.shape, _U64)
+    for one, row in zip(some, words, strict=True):
+        np.bitwise_xor(one[:, None], row[None, :], out=both)
+        apart += np.bitwise_count(both)
+    return apart
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
@@ -225,7 +241,8 @@ def _close_pairs(
     each pair of blocks is one group. The longer signatures are compared within the
     group, and a pair comes out at the first of the keys where it meets.
     """
-    matches = matches_for(percent, FINE_HASHES)
+    # Bits of different hashes agree half of the time.
+    most_apart = FINE_HASHES - matches_for((100 + percent) / 2, FINE_HASHES)
     sizes = mine.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     blocked = sizes.where("blocks > 1")
     own = F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1))).cast("int")
@@ -251,18 +268,16 @@ def _close_pairs(
             n = rows.column("n_shingles").to_numpy()
             ids, component = rows.column("doc_id").to_numpy(), rows.column("component").to_numpy()
             block = rows.column("block").to_numpy()
-            flat = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint8)
-            signature = np.ascontiguousarray(flat.reshape(len(ids), FINE_HASHES).T)
+            flat = np.frombuffer(b"".join(rows.column("fine").to_pylist()), _U64)
+            signature = np.ascontiguousarray(flat.reshape(len(ids), FINE_HASHES // 64).T)
             crossing = rows.column("one")[0].as_py() != rows.column("two")[0].as_py()
             found_a, found_b = [], []
             outside = rows.column("outside").to_numpy()
             compared = np.flatnonzero(outside)
             for at in range(0, len(compared), 128):
                 part = compared[at : at + 128]
-                counts = np.zeros((len(part), len(ids)), np.int16)
-                for row in signature:
-                    counts += row[part, None] == row[None, :]
-                good = (counts >= matches) & (component[part, None] != component[None, :])
+                good = _bits_apart(signature[:, part], signature) <= most_apart
+                good &= component[part, None] != component[None, :]
                 # Two documents outside are compared from either side.
                 good &= ~outside[None, :] | (ids[part, None] < ids[None, :])
                 low, high = np.minimum(n[part, None], n), np.maximum(n[part, None], n)
