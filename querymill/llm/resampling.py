@@ -90,7 +90,9 @@ def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
     held = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (place % 8).cast("int")) == 1
     # At most BITMAP_BITS / 32768 rows of 4 KiB.
     near = docs.withColumn("_part", F.bitmap_bucket_number(h)).join(F.broadcast(maps), "_part")
-    return near.where(held).drop("_part", "_bits").join(ids, "doc_id", "left_semi")
+    near = near.where(held).drop("_part", "_bits")
+    # One plan at every size: ids small enough to be sent out today grow with the labels.
+    return near.hint("merge").join(ids, "doc_id", "left_semi")
 
 
 def _gumbel(doc_id: Column, seed: int) -> Column:
@@ -130,9 +132,9 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
 
     ``labels(doc_id, quality)``: the target is all documents of quality 1. As large a share
     of all documents is kept as is good among the labelled ones (all, without labels):
-    those with the largest keys. Whole texts count, in the model of all documents as in the weights. A NULL, empty or blank text
-    has no n-grams and weight 0. Rows with equal doc_id draw the same noise; keys equal
-    to the last one kept are kept, too.
+    those with the largest keys. Whole texts count, in the model of all documents as in
+    the weights. A NULL, empty or blank text has no n-grams and weight 0. Rows with equal
+    doc_id draw the same noise; keys equal to the last one kept are kept, too.
     """
     ids = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
