@@ -239,7 +239,10 @@ def _close_pairs(
     ``mine`` has key, doc_id, component and the key's ``largest`` component; only the
     documents outside that one are compared with all. A key with many documents is cut into blocks;
     each pair of blocks is one group. The longer signatures are compared within the
-    group, and a pair comes out at the first of the keys where it meets.
+    group, and a pair is taken at the first of the keys where it meets. Its full sets
+    are compared there, and it comes out only if they are similar enough and its ends
+    are still apart after the links that came out of the group before: a group gives
+    fewer links than it has documents, and the components are the same.
     """
     # Bits of different hashes agree half of the time.
     most_apart = FINE_HASHES - matches_for((100 + percent) / 2, FINE_HASHES)
@@ -255,9 +258,17 @@ def _close_pairs(
         )
         .withColumn("one", F.least("block", "other"))
         .withColumn("two", F.greatest("block", "other"))
-        .join(posted.join(sets.select("doc_id", "fine"), "doc_id"), "doc_id")
+        .join(posted.join(sets.select("doc_id", "fine", "shingles"), "doc_id"), "doc_id")
         .select(
-            *_MEETING, "block", "doc_id", "component", "outside", "n_shingles", "shared", "fine"
+            *_MEETING,
+            "block",
+            "doc_id",
+            "component",
+            "outside",
+            "n_shingles",
+            "shared",
+            "fine",
+            "shingles",
         )
         .repartition(*_MEETING)
         .sortWithinPartitions(*_MEETING)
@@ -292,11 +303,13 @@ def _close_pairs(
             key, shared = rows.column("key")[0].as_py(), rows.column("shared")
             lists = {k: shared[k].as_py() for k in {*found_a, *found_b}}
             sets = {k: frozenset(v) for k, v in lists.items()}
-            pairs = [
-                (int(min(ids[a], ids[b])), int(max(ids[a], ids[b])))
+            firsts = [
+                (a, b)
                 for a, b in zip(found_a, found_b, strict=True)
                 if next(k for k in lists[a] if k in sets[b]) == key
             ]
+            pairs = _joining(firsts, component, rows.column("shingles"), percent)
+            pairs = [(int(min(ids[a], ids[b])), int(max(ids[a], ids[b]))) for a, b in pairs]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"]
             )
@@ -304,6 +317,42 @@ def _close_pairs(
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _joining(
+    pairs: list[tuple[int, int]], component: np.ndarray, shingles: pa.Array, percent: int
+) -> list[tuple[int, int]]:
+    """Those of the pairs of rows whose full sets are similar enough and that join two
+    components still apart, those of earlier ones in the list joined."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        path = []
+        while root.get(x, x) != x:
+            path.append(x)
+            x = root[x]
+        for y in path:
+            root[y] = x
+        return x
+
+    full: dict[int, np.ndarray] = {}
+
+    def shingle_set(k: int) -> np.ndarray:
+        if k not in full:
+            full[k] = shingles[k].values.to_numpy()
+        return full[k]
+
+    out = []
+    for a, b in pairs:
+        x, y = find(int(component[a])), find(int(component[b]))
+        if x == y:
+            continue
+        one, two = shingle_set(a), shingle_set(b)
+        both = len(np.intersect1d(one, two, assume_unique=True))
+        if both * 100 >= (len(one) + len(two) - both) * percent:
+            root[max(x, y)] = min(x, y)
+            out.append((a, b))
+    return out
+
+
 def _mixed(postings: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, int]:
     """Postings at keys where different components meet, with the documents' component
     and the key's ``largest`` one; and the number of pairs that meet there."""

@@ -78,6 +78,44 @@ def test_documents(spark, monkeypatch, small):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [1024, 8])
+def test_documents_large_group_linear(spark, monkeypatch, block):
+    """A group of near copies compared all with all gives links in proportion to it, not
+    to its pairs: fewer than its members at each key where it meets."""
+    monkeypatch.setattr(minhash, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    draw = random.Random(4)
+    base = [f"w{k}" for k in range(200)]
+    texts = []
+    for _ in range(40):
+        copy = list(base)
+        for _ in range(draw.randrange(4)):
+            copy[draw.randrange(200)] = f"x{draw.random()}"
+        texts.append(" ".join(copy))
+    texts += [" ".join(f"r{draw.randrange(9999)}" for _ in range(30)) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counted = []
+    close_pairs = minhash._close_pairs
+
+    def counting(*args):
+        pairs = minhash.materialize(close_pairs(*args), "counted")
+        counted.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(minhash, "_close_pairs", counting)
+    got = minhash.near_duplicates(docs).collect()
+    sets = [shingles(t, 3) for t in texts]
+    links = [
+        (i, j)
+        for i in range(len(sets))
+        for j in range(i)
+        if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
+    ]
+    assert counted and 2 * max(counted) < len(links)
+    want = reachable(range(len(sets)), links)
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 @pytest.mark.parametrize("block", [1024, 16])
 def test_vectors(spark, monkeypatch, block):
     monkeypatch.setattr(embedding_dedup, "BLOCK", block)
